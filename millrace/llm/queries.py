@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, sharding, simhash
+from . import decontam, exact_dedup, langid, sharding, simhash
 from .common import read_table
 
 
@@ -22,7 +22,18 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op7_simhash)}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held = langid.held_out(F.col("doc_id"))
+    told = langid.predict(docs, langid.fit(docs.where(~held)))
+    return told.select("doc_id", held.alias("held_out"), "language.lang_pred", "language.score")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op7_simhash, op9_language_id, op10_decontamination)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
