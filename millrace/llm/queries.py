@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, sharding, simhash
+from . import decontam, exact_dedup, langid, sharding, simhash, simple8b
 from .common import read_table
 
 
@@ -22,6 +23,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.read(spark, simple8b.write(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held = langid.held_out(F.col("doc_id"))
@@ -33,7 +38,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op7_simhash, op9_language_id, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
