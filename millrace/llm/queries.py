@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, sharding, simhash, simple8b
+from . import decontam, exact_dedup, langid, sharding, simhash, simple8b, warc
 from .common import read_table
 
 
@@ -18,6 +18,13 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"), 40)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page's number is a field of the metadata record that the assembly nests beside the response or revisit."""
+    captures = warc.assemble(warc.read(spark, warc.write(read_table(spark, sf_dir, "pages")), payloads=False))
+    number = F.col("metadata.fields")["page"].cast("long")
+    return captures.select(number.alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("original.metadata.fields")["page"].cast("long").alias("refers_to"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, distance=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -38,7 +45,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_warc, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
