@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, pieces, sharding, simhash, simple8b, warc
+from . import decontam, exact_dedup, langid, pieces, sharding, simhash, simple8b, url_filter, warc
 from .common import read_table
 
 
@@ -29,6 +29,13 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return captures.select(number.alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("original.metadata.fields")["page"].cast("long").alias("refers_to"))
 
 
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, distance=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -49,7 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op4_sentencepiece, op5_warc, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op4_sentencepiece, op5_warc, op6_url_filter, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
