@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, pieces, sharding, simhash, simple8b, url_filter, warc
+from . import decontam, exact_dedup, langid, mixing, pieces, sharding, simhash, simple8b, url_filter, warc
 from .common import read_table
 
 
@@ -18,6 +18,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"), 40)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return mixing.score(docs, mixing.held_out(F.col("doc_id")))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -56,7 +61,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op4_sentencepiece, op5_warc, op6_url_filter, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_lm_scoring, op4_sentencepiece, op5_warc, op6_url_filter, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
