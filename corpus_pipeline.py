@@ -1,4 +1,56 @@
-"""placeholder"""
-STAGES=[]
-ORACLE_SQL=None
-def run(spark, sf_dir): raise NotImplementedError
+"""A corpus pipeline from five operators: language ID, exact dedup, SimHash near-dedup, benchmark decontamination, SentencePiece.
+
+Each stage takes the session, the rows that its predecessor kept and the folder of the tables, and returns a DataFrame that is
+written and read again as the next one's input. All but the last keep the columns of documents. Each stage is decided on its own
+input alone: the classifier of the first learns from its labelled rows, and the fourth reads the table ``benchmark``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from millrace.llm import decontam, exact_dedup, langid, pieces, simhash
+from millrace.llm.common import cut, read_table
+
+#: Words of a shingle, and differing bits of a fingerprint up to which texts are near copies.
+SHINGLE_WORDS, DISTANCE = 5, 4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter, or whose language cannot be told, go."""
+    return langid.keep_identified(docs)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the row with the smallest doc_id stays."""
+    return exact_dedup.deduplicate(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the row with the smallest doc_id stays."""
+    return simhash.keep_one(docs, words=SHINGLE_WORDS, distance=DISTANCE)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that hold a benchmark item go."""
+    return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the best segmentation, scores of the best three, and whether decoding gives the text."""
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [("language_id", language_id), ("exact_copies", exact_copies), ("near_copies", near_copies), ("benchmark_leaks", benchmark_leaks), ("sentencepiece", encode)]
+
+#: The language classifier, the fingerprints and the N-best search are beyond SQL.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents through all stages, each written to the shared folder and read again."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
