@@ -1 +1 @@
-
+"""Column to Column functions."""

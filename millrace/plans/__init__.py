@@ -1 +1 @@
-
+"""End-to-end plans and the registered queries."""
