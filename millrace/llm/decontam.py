@@ -6,8 +6,9 @@ does not change it. Hashes of training documents are joined with those of the be
 item's place in the document), and around each proposal the two token sequences are compared: an item is found in a document if
 some stretch of ``window`` aligned tokens (or the whole item, if it is shorter) agrees in ``similarity`` of them at least.
 
-A bitmap of the benchmark's hashes, of a size fixed in advance, lets most windows of the documents go before the join. It can pass
-a window that has no partner, never the other way round. What passes travels as one row for each cluster of such windows with the
+A bitmap of the benchmark's hashes, of a size fixed in advance, lets most windows of the documents go before the join, and where the
+hashes are few enough to be broadcast themselves, a look-up lets go of the rest. What they let pass may have no partner, never the
+other way round. What passes travels as one row for each cluster of such windows with the
 tokens around it, so texts are read once and never shuffled.
 
 Defined results: null and empty texts hold nothing; an item without tokens is never found; an item shorter than the masks is
@@ -31,6 +32,8 @@ MASKS = ("1111001111", "11011011011", "10111010111")
 WINDOW, SIMILARITY = 13, 0.8
 #: Tokens kept on either side of a window that passed, and the distance at which two such windows still share a row.
 MARGIN = 2 * WINDOW
+#: Hashes up to which they are broadcast beside the bitmap.
+FEW_HASHES = 4 << 20
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: Byte to byte: lower-case for ASCII letters, 0 for what separates tokens.
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 0 for c in range(256)], np.uint8)
@@ -156,9 +159,15 @@ def _item_seeds(items: DataFrame) -> DataFrame:
     return items.select("item", "tokens").mapInArrow(run, f"hash long, item {kind}, at int")
 
 
-def _bitmap(hashes: DataFrame, n: int) -> np.ndarray:
-    """Which of 2**16 to 2**26 slots have a hash; 16 slots for each of ``n`` hashes within those bounds. Collected in pieces of 8 KB."""
-    slots = 1 << min(26, max(16, (16 * n).bit_length()))
+def _filter(hashes: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray | None]:
+    """A bitmap of 2**20 to 2**26 slots (64 for each of ``n`` hashes within those bounds), and the sorted hashes if they are few.
+    Of more hashes, the bitmap is made by Spark and collected in pieces of 8 KB."""
+    slots = 1 << min(26, max(20, (64 * n).bit_length()))
+    out = np.zeros(slots, bool)
+    if n <= FEW_HASHES:
+        few = np.unique(hashes.toArrow()["hash"].to_numpy().view(np.uint64))
+        out[(few & np.uint64(slots - 1)).astype(np.int64)] = True
+        return out, few
 
     def pack(table: pa.Table) -> pa.Table:
         bits = np.zeros(1 << 16, bool)
@@ -167,18 +176,17 @@ def _bitmap(hashes: DataFrame, n: int) -> np.ndarray:
 
     slot = F.col("hash").bitwiseAND(F.lit(slots - 1).cast("long"))
     pieces = hashes.select(slot.alias("slot")).distinct().select(F.shiftright("slot", 16).cast("int").alias("piece"), (F.col("slot") % 65536).cast("int").alias("low"))
-    out = np.zeros(slots, bool)
     for r in pieces.groupBy("piece").applyInArrow(pack, "piece int, bits binary").collect():
         out[r["piece"] << 16 : (r["piece"] + 1) << 16] = np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
-    return out
+    return out, None
 
 
-def _clusters(docs: DataFrame, id_col: str, text_col: str, masks: list[str], bitmap: np.ndarray) -> DataFrame:
+def _clusters(docs: DataFrame, id_col: str, text_col: str, masks: list[str], known: tuple[np.ndarray, np.ndarray | None]) -> DataFrame:
     """doc, base (position of the first kept token), tokens, at and hash (arrays: the windows that the bitmap lets pass)."""
-    kind, shared = docs.schema[id_col].dataType.simpleString(), docs.sparkSession.sparkContext.broadcast(bitmap)
+    kind, shared = docs.schema[id_col].dataType.simpleString(), docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, bits = Tokens(), shared.value
+        tokens, (bits, few) = Tokens(), shared.value
         slot = np.uint64(len(bits) - 1)
         for b in batches:
             data, edges = _column(b, 1)
@@ -187,7 +195,9 @@ def _clusters(docs: DataFrame, id_col: str, text_col: str, masks: list[str], bit
                 at, hashes = [], []
                 for mask in masks:
                     where, h = seeds(found, first, mask)
-                    ok = bits[(h & slot).astype(np.int64)]
+                    ok = np.nonzero(bits[(h & slot).astype(np.int64)])[0]
+                    if few is not None and len(ok):
+                        ok = ok[few[np.minimum(np.searchsorted(few, h[ok]), len(few) - 1)] == h[ok]]
                     at.append(where[ok])
                     hashes.append(h[ok])
                 at, hashes = np.concatenate(at), np.concatenate(hashes)
@@ -237,7 +247,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     longest = max(map(len, MASKS))
     masks = [*MASKS, *("1" * r["n"] for r in bench.where(F.col("n") < longest).select("n").distinct().collect())]
     n = known.count()
-    spots = _clusters(docs, id_col, text_col, masks, _bitmap(known, n)).distinct()
+    spots = _clusters(docs, id_col, text_col, masks, _filter(known.select("hash"), n)).distinct()
     spots = cut(spots.withColumn("spot", F.xxhash64("doc", "base", "tokens")), "spots")
     asked = spots.select("doc", "base", "spot", F.explode(F.arrays_zip("at", "hash")).alias("w")).select("doc", "base", "spot", F.col("w.at").alias("doc_at"), F.col("w.hash").alias("hash"))
     met = sized_join(asked, known, ["hash"], rows=n).select("doc", "base", "spot", "item", (F.col("doc_at") - F.col("at") - F.col("base")).alias("shift")).distinct()
