@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm import decontam, exact_dedup, langid, pieces, simhash
 from millrace.llm.common import cut, read_table
 
-#: Words of a shingle, and differing bits of a fingerprint up to which texts are near copies.
-SHINGLE_WORDS, DISTANCE = 5, 4
+#: Words of a shingle, and the similarity of shingles from which texts are near copies.
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the row with the smallest doc_id stays."""
-    return simhash.keep_one(docs, words=SHINGLE_WORDS, distance=DISTANCE)
+    return simhash.keep_one(docs, words=SHINGLE_WORDS, similarity=SIMILARITY)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 0 for c in range(256)], np.uint8)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * _MIX
     return h ^ (h >> np.uint64(29))
 
@@ -78,7 +78,7 @@ class Tokens:
                 self.up, self.down = _powers(self.BASE, b - a + 1), _powers(pow(self.BASE, -1, 1 << 64), b - a + 1)
             sums = np.zeros(b - a + 1, np.uint64)
             np.cumsum(data[a:b].astype(np.uint64) * self.up[: b - a], out=sums[1:])
-            out[k:n] = _mixed((sums[ends[k:n] - a] - sums[starts[k:n] - a]) * self.down[starts[k:n] - a])
+            out[k:n] = mixed((sums[ends[k:n] - a] - sums[starts[k:n] - a]) * self.down[starts[k:n] - a])
             k = n
         return out, np.searchsorted(starts, edges)
 
@@ -86,7 +86,7 @@ class Tokens:
 def _factors(mask: str) -> list[tuple[int, np.uint64]]:
     state, out = np.array([len(mask) * 1000003 + int(mask, 2)], np.uint64), []
     for i, c in enumerate(mask):
-        state = _mixed(state + _ODD)
+        state = mixed(state + _ODD)
         if c == "1":
             out.append((i, state[0] | np.uint64(1)))
     return out
@@ -105,10 +105,10 @@ def seeds(tokens: np.ndarray, edges: np.ndarray, mask: str) -> tuple[np.ndarray,
         at = edges[1:] - e
         fits[at[(at >= 0) & (at < n)]] = False
     where = np.nonzero(fits)[0]
-    return where, _mixed(h[where])
+    return where, mixed(h[where])
 
 
-def _column(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+def binary_column(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     """A binary column's bytes and edges, without a copy. Null is empty."""
     col = b.column(i)
     wide = pa.types.is_large_binary(col.type)
@@ -137,7 +137,7 @@ def _item_tokens(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
         for b in batches:
-            found, first = tokens(*_column(b, 1))
+            found, first = tokens(*binary_column(b, 1))
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(found.view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(np.diff(first), pa.int32())], ["item", "tokens", "n"])
 
@@ -189,7 +189,7 @@ def _clusters(docs: DataFrame, id_col: str, text_col: str, masks: list[str], kno
         tokens, (bits, few) = Tokens(), shared.value
         slot = np.uint64(len(bits) - 1)
         for b in batches:
-            data, edges = _column(b, 1)
+            data, edges = binary_column(b, 1)
             for x, y in slices(edges):
                 found, first = tokens(data[edges[x] : edges[y]], edges[x : y + 1] - edges[x])
                 at, hashes = [], []
