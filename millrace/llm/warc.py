@@ -29,7 +29,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_folder
+from .common import SALTS, cut, new_folder
 
 SUFFIX, FILE_BYTES = ".warc.gz", 16 << 20
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL name space of RFC 4122
@@ -187,8 +187,8 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row for each response or revisit: record_id, type, target_uri, payload_digest, payload_bytes, payload (of the
-    response that a revisit refers to, if that is in the archives), refers_to, original, request, metadata, n_requests, n_metadata."""
+    """One nested row for each response or revisit: record_id, type, target_uri, payload_digest, payload_bytes (both of
+    the full payload), payload (null for revisits), refers_to, original (of the response that a revisit refers to), request, metadata, n_requests, n_metadata."""
     side = ["record_id", "target_uri", "date", "content_type", "payload", "fields"]
 
     def concurrent(kind: str, name: str) -> DataFrame:
@@ -198,5 +198,11 @@ def assemble(records: DataFrame) -> DataFrame:
     main = records.where(F.col("type").isin("response", "revisit")).drop("concurrent_to", "fields")
     request, metadata = concurrent("request", "request").withColumnRenamed("n_request", "n_requests"), concurrent("metadata", "metadata")
     whole = main.join(request, "record_id", "left").join(metadata, "record_id", "left").fillna(0, ["n_requests", "n_metadata"])
-    first = whole.where("type = 'response'").select(F.col("record_id").alias("refers_to"), F.struct("target_uri", "payload_bytes", "payload_digest", "payload", "metadata").alias("original"))
-    return whole.join(first, "refers_to", "left").select("record_id", "type", "target_uri", "date", F.coalesce("original.payload_digest", "payload_digest").alias("payload_digest"), F.coalesce("original.payload_bytes", "payload_bytes").alias("payload_bytes"), F.coalesce("original.payload", "payload").alias("payload"), "refers_to", "original", "request", "metadata", "n_requests", "n_metadata")
+    whole = cut(whole, "captures")
+    first = whole.where("type = 'response'").select(F.col("record_id").alias("refers_to"), F.struct("target_uri", "payload_bytes", "payload_digest", "metadata").alias("original"))
+    revisits = whole.where("type = 'revisit'")
+    # Only what revisits refer to is repeated for the salts, and it holds no payloads.
+    first = first.join(revisits.select("refers_to").distinct(), "refers_to", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    revisits = revisits.withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int")).join(first, ["refers_to", "salt"], "left").drop("salt")
+    both = revisits.unionByName(whole.where("type <> 'revisit'"), allowMissingColumns=True)
+    return both.select("record_id", "type", "target_uri", "date", F.coalesce("original.payload_digest", "payload_digest").alias("payload_digest"), F.coalesce("original.payload_bytes", "payload_bytes").alias("payload_bytes"), F.when(F.col("type") == "response", F.col("payload")).alias("payload"), "refers_to", "original", "request", "metadata", "n_requests", "n_metadata")
