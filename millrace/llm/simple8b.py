@@ -17,13 +17,15 @@ text; null ids come first and are stored as the smallest int64; an empty table m
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +33,17 @@ from pyspark.sql import Window as W
 
 from .common import cut, new_folder
 
-MAGIC, SUFFIX, BLOCK, FILE_IDS = b"S8B-IDS1", ".s8b", 256, 2 << 20
+MAGIC, SUFFIX, BLOCK, FILE_IDS = b"S8B-IDS1", ".s8b", 256, 1 << 20
 #: Ids in a word and bits of each, by selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)[2:]
 WIDTHS = 60 // COUNTS
+_LIMITS = np.uint64(1) << WIDTHS.astype(np.uint64)
 ESCAPE = 15
-#: Different words that a task keeps the ids of.
-KNOWN_WORDS = 500_000
+#: Different words that a Python worker keeps the ids of.
+KNOWN_WORDS = 600_000
+_MARKS = b".,!?;:%&$#*|"
+#: How byte-level vocabularies write the bytes that are not printable in Latin-1: in order, from U+0100 on.
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -48,15 +54,16 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-n // BLOCK)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    # Which selectors fit at each position: all of the next COUNTS ids (within the block) are narrow enough.
+    # The selector with most ids that fits at each position: the next COUNTS ids, within the block, are narrow enough, so that the
+    # c-th narrow id from here is c - 1 places on.
     best = np.full(n, ESCAPE, np.int8)
-    left = np.minimum(BLOCK - np.arange(n) % BLOCK, n - np.arange(n))
+    first = np.searchsorted(_LIMITS, ids, "right").astype(np.int8)  # the first selector, from the narrowest, that holds the id
     for s in range(len(COUNTS) - 1, -1, -1):
-        wide = np.concatenate([[0], np.cumsum(ids >> np.uint64(WIDTHS[s]) != 0)])
-        c = int(COUNTS[s])
-        if c <= n:
-            ok = (wide[c:] == wide[:-c]) & (left[: n - c + 1] >= c)
-            best[: n - c + 1][ok] = s
+        c, narrow = int(COUNTS[s]), np.nonzero(first <= s)[0]
+        if len(narrow) >= c:
+            spots = narrow[: len(narrow) - c + 1]
+            spots = spots[narrow[c - 1 :] - spots == c - 1]
+            best[spots[spots % BLOCK <= BLOCK - c] if c > 1 else spots] = s
     at = np.arange(blocks) * BLOCK
     ends = np.minimum(at + BLOCK, n)
     live, steps = np.arange(blocks), []
@@ -131,47 +138,80 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out[0], out[1].astype(np.int64), decode(out[3], out[2], n)
 
 
-def word_tokenizer(path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
-    """UTF-8 texts to (ids of all, numbers of ids) with a ``tokenizers`` file that drops white space and never joins across it.
+class WordTokenizer:
+    """UTF-8 texts to ids with a ``tokenizers`` file that lower-cases, drops white space and never joins across it.
 
     For such a file a text's ids are those of its words between ASCII white space, one after the other, so each different word is
-    encoded once and kept for later texts, up to a bound.
+    encoded once and kept for later texts, up to a bound. A word that ends in common punctuation is encoded in two: where a letter
+    or digit meets a punctuation mark, the pre-tokenizer cuts as well.
     """
-    from tokenizers import Tokenizer
-
-    model, known = Tokenizer.from_file(path), {}
-
-    def ids(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        split = [t.split() for t in texts]
-        words = list(chain.from_iterable(split))
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            found = model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            known.update(zip(part, (array("I", e.ids).tobytes() for e in found), strict=True))
-        parts = list(map(known.__getitem__, words))
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, split)])]
-        return np.frombuffer(b"".join(parts), np.uint32), np.diff(ends)
 
-    return ids
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
+        self.model, self.known = Tokenizer.from_file(path), {}
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, halves, new = self.known, {}, set()
+        for w in words:
+            stem = w.rstrip(_MARKS)
+            if len(stem) < len(w) and (stem[-1:].isalnum() or stem and stem[-1] >= 128 and stem.decode()[-1].isalpha()):
+                halves[w] = (stem, w[len(stem) :])
+                new.update(halves[w])
+            else:
+                new.add(w)
+        new.difference_update(known)
+        # Letters of Latin alphabets need no normalising beyond lower case and no cutting, so the model takes them as they are.
+        plain, tokenize = set(), self.model.model.tokenize
+        for w in new:
+            text = w.decode()
+            if text.isalpha() and max(text) < "\u0250" and "\u0130" not in text:
+                bytes_ = text.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+                known[w] = array("I", [t.id for t in tokenize(bytes_)]).tobytes()
+                plain.add(w)
+        rest = list(new.difference(plain))
+        for i in range(0, len(rest), 2048):
+            part = rest[i : i + 2048]
+            found = self.model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            known.update(zip(part, (array("I", e.ids).tobytes() for e in found), strict=True))
+        for w, (stem, marks) in halves.items():
+            known[w] = known[stem] + known[marks]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (a string array), and how many each has."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        words, index = coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy()
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        parts = list(map(self.known.get, words))
+        if None in parts:
+            self._learn({w for w, p in zip(words, parts, strict=True) if p is None})
+            parts = list(map(self.known.__getitem__, words))
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        start, size = (np.cumsum(size) - size).astype(np.int32)[index], size.astype(np.int32)[index]
+        ends = np.cumsum(size, dtype=np.int32)
+        where = np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32) + np.repeat(start - (ends - size), size)
+        return np.frombuffer(b"".join(parts), np.uint32)[where], np.diff(np.concatenate([[0], ends])[np.cumsum([0, *pc.list_value_length(split).to_pylist()])])
 
 
 def write(docs: DataFrame, tokenizer: str, end: int, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None, ranges: int | None = None) -> str:
     """Write the ids of all texts, each with ``end`` after it, and return the folder."""
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "ids")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    order = ["id", F.crc32("text"), "text"]
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    order = ["id", F.crc32(F.col("text").cast("binary")), "text"]
     dealt = rows.repartitionByRange(ranges, *order[:2]) if ranges else rows.repartitionByRange(*order[:2])
     dealt = dealt.withColumn("part", F.spark_partition_id()).sortWithinPartitions(*order)
 
+    kept = spark.sparkContext.broadcast({})  # in each Python worker, it keeps the tokenizer from task to task
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, at = pafs.FileSystem.from_uri(folder)
         store.create_dir(at, recursive=True)
-        encoded, held, seq, part = word_tokenizer(tokenizer), [], 0, 0
+        encoded = kept.value["tokenizer"] = kept.value.get("tokenizer") or WordTokenizer(tokenizer)
+        held, seq, part = [], 0, 0
 
         def flush() -> pa.RecordBatch:
             nonlocal seq, held
@@ -188,11 +228,10 @@ def write(docs: DataFrame, tokenizer: str, end: int, id_col: str = "doc_id", tex
             if b.num_rows:
                 part = b.column(2)[0].as_py()
             ids = b.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            for i in range(0, b.num_rows, 256):
-                flat, counts = encoded(b.column(1).slice(i, 256).to_pylist())
+            for i in range(0, b.num_rows, 1024):
+                flat, counts = encoded(b.column(1).slice(i, 1024))
                 counts = counts + 1
-                full = np.insert(flat, np.cumsum(counts - 1), end)
-                held.append((ids[i : i + 256], counts, full))
+                held.append((ids[i : i + 1024], counts, np.insert(flat, np.cumsum(counts - 1), end)))
                 if sum(len(h[2]) for h in held) >= FILE_IDS:
                     yield flush()
         if held:
