@@ -23,11 +23,12 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-FIT_ROWS, WORDS, GRAMS, LONGEST = 10_000, 50_000, 20_000, 5
+FIT_ROWS, WORDS, GRAMS, LONGEST = 10_000, 20_000, 8_000, 5
 #: Unseen words whose scores a task remembers.
 REMEMBER = 200_000
 UNDECIDED = "und"
@@ -97,23 +98,23 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         units = units.union(grams)
     counts = units.groupBy("lang", "size", "unit").agg(F.sum("n").alias("n"))
     ranked = counts.withColumn("rank", F.row_number().over(W.partitionBy("lang", "size").orderBy(F.desc("n"), "unit")))
-    top = ranked.where(F.col("rank") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS)).select("lang", "size", "unit", "n").toPandas()
-
-    def table(part: pd.DataFrame) -> tuple[dict[str, int], np.ndarray]:
-        units = {u: i for i, u in enumerate(part["unit"].unique())}
-        out = np.zeros((len(units), len(langs)), np.float32)
-        for size in part["size"].unique():
-            mine = part[part["size"] == size]
-            at, lang = mine["unit"].map(units).to_numpy(), mine["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()
-            n = np.zeros((len(units), len(langs)), np.float64)
-            n[at, lang] = mine["n"].to_numpy()
-            here = np.unique(at)
-            out[here] = np.log((n[here] + 0.5) / (n.sum(0) + 0.5 * len(here)))
-        return units, out
-
-    top = top.sort_values(["size", "unit", "lang"])
-    words_table, grams_table = table(top[top["size"] == 0]), table(top[top["size"] > 0])
-    return Model(langs, *words_table, *grams_table)
+    # WORDS + LONGEST * GRAMS rows a language at most.
+    top = ranked.where(F.col("rank") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS)).select("size", "unit", "lang", "n").toArrow()
+    size, unit, lang = (top[c].combine_chunks() for c in ("size", "unit", "lang"))
+    place = pc.index_in(lang, pa.array(langs)).to_numpy()
+
+    def table(mine: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
+        coded = unit.filter(pa.array(mine)).dictionary_encode()
+        at, sizes, n = coded.indices.to_numpy(), size.to_numpy()[mine], top["n"].to_numpy()[mine]
+        out = np.zeros((len(coded.dictionary), len(langs)), np.float32)
+        for k in np.unique(sizes):
+            here, local = np.unique(at[sizes == k], return_inverse=True)
+            counts = np.zeros((len(here), len(langs)))
+            counts[local, place[mine][sizes == k]] = n[sizes == k]
+            out[here] = np.log((counts + 0.5) / (counts.sum(0) + 0.5 * len(here)))
+        return {u: i for i, u in enumerate(coded.dictionary.to_pylist())}, out
+
+    return Model(langs, *table(size.to_numpy() == 0), *table(size.to_numpy() > 0))
 
 
 def predictor(spark, model: Model):

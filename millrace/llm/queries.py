@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontam, exact_dedup, langid, mixing, pieces, sharding, simhash, simple8b, url_filter, warc
-from .common import read_table
+from .common import cut, read_table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +29,8 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page's number is a field of the metadata record that the assembly nests beside the response or revisit."""
-    captures = warc.assemble(warc.read(spark, warc.write(read_table(spark, sf_dir, "pages")), payloads=False))
+    records = cut(warc.read(spark, warc.write(read_table(spark, sf_dir, "pages")), payloads=False), "records")
+    captures = warc.assemble(records)
     number = F.col("metadata.fields")["page"].cast("long")
     return captures.select(number.alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("original.metadata.fields")["page"].cast("long").alias("refers_to"))
 

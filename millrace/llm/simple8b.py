@@ -40,7 +40,7 @@ WIDTHS = 60 // COUNTS
 _LIMITS = np.uint64(1) << WIDTHS.astype(np.uint64)
 ESCAPE = 15
 #: Different words that a Python worker keeps the ids of.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 800_000
 _MARKS = b".,!?;:%&$#*|"
 #: How byte-level vocabularies write the bytes that are not printable in Latin-1: in order, from U+0100 on.
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
@@ -54,16 +54,27 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-n // BLOCK)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    # The selector with most ids that fits at each position: the next COUNTS ids, within the block, are narrow enough, so that the
-    # c-th narrow id from here is c - 1 places on.
-    best = np.full(n, ESCAPE, np.int8)
+    # The selector with most ids that fits at each position: the next COUNTS ids, within the block, are narrow enough. Where most
+    # ids are narrow, running counts of the wide ones tell; where few are, the c-th narrow id from here must be c - 1 places on.
     first = np.searchsorted(_LIMITS, ids, "right").astype(np.int8)  # the first selector, from the narrowest, that holds the id
+    best, room = np.full(n, ESCAPE, np.int8), np.minimum(BLOCK - np.arange(n, dtype=np.int32) % BLOCK, n - np.arange(n, dtype=np.int32))
+    widest = int(first.max())
     for s in range(len(COUNTS) - 1, -1, -1):
-        c, narrow = int(COUNTS[s]), np.nonzero(first <= s)[0]
-        if len(narrow) >= c:
-            spots = narrow[: len(narrow) - c + 1]
-            spots = spots[narrow[c - 1 :] - spots == c - 1]
-            best[spots[spots % BLOCK <= BLOCK - c] if c > 1 else spots] = s
+        c, narrow = int(COUNTS[s]), first <= s
+        few = np.count_nonzero(narrow)
+        if widest <= s:
+            best[room >= c] = s
+        elif few > max(n // 4, c - 1):
+            wide = np.cumsum(~narrow, dtype=np.int32)  # at least c ids, so none of these is empty
+            ok = room[: n - c + 1] >= c
+            ok[0] &= wide[c - 1] == 0
+            ok[1:] &= wide[c:] == wide[: n - c]
+            best[: n - c + 1][ok] = s
+        elif few >= c:
+            at = np.nonzero(narrow)[0]
+            spots = at[: few - c + 1]
+            spots = spots[at[c - 1 :] - spots == c - 1]
+            best[spots[room[spots] >= c]] = s
     at = np.arange(blocks) * BLOCK
     ends = np.minimum(at + BLOCK, n)
     live, steps = np.arange(blocks), []
@@ -166,9 +177,9 @@ class WordTokenizer:
         plain, tokenize = set(), self.model.model.tokenize
         for w in new:
             text = w.decode()
-            if text.isalpha() and max(text) < "\u0250" and "\u0130" not in text:
-                bytes_ = text.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
-                known[w] = array("I", [t.id for t in tokenize(bytes_)]).tobytes()
+            if text.isalpha() and (text.isascii() or max(text) < "\u0250" and "\u0130" not in text):
+                text = text.lower() if text.isascii() else text.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+                known[w] = array("I", [t.id for t in tokenize(text)]).tobytes()
                 plain.add(w)
         rest = list(new.difference(plain))
         for i in range(0, len(rest), 2048):
