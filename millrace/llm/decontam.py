@@ -131,7 +131,7 @@ def _lowered(text_col: str):
 
 
 def _item_tokens(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """item, tokens of each benchmark row that has tokens; n the number of tokens."""
+    """item, tokens of each benchmark row that has tokens; n the number of tokens; key a number of the row that is never null."""
     kind = items.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,12 +141,12 @@ def _item_tokens(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(found.view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(np.diff(first), pa.int32())], ["item", "tokens", "n"])
 
-    return items.select(F.col(id_col).alias("item"), _lowered(text_col).alias("text")).mapInArrow(run, f"item {kind}, tokens array<long>, n int").where("n > 0").distinct()
+    return items.select(F.col(id_col).alias("item"), _lowered(text_col).alias("text")).mapInArrow(run, f"item {kind}, tokens array<long>, n int").where("n > 0").distinct().withColumn("key", F.xxhash64("item", "tokens"))
 
 
 def _item_seeds(items: DataFrame) -> DataFrame:
-    """hash, item, at (position in the item) for every window of every mask that an item's length allows."""
-    kind, longest = items.schema["item"].dataType.simpleString(), max(map(len, MASKS))
+    """hash, key, at (position in the item) for every window of every mask that an item's length allows."""
+    longest = max(map(len, MASKS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -154,9 +154,9 @@ def _item_seeds(items: DataFrame) -> DataFrame:
                 t = np.array(tokens, np.int64).view(np.uint64)
                 for mask in MASKS if len(t) >= longest else ("1" * len(t),):
                     at, h = seeds(t, np.array([0, len(t)]), mask)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([b.column(0)[i].as_py()] * len(h), b.column(0).type), pa.array(at, pa.int32())], ["hash", "item", "at"])
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), b.column(0)[i].as_py()), pa.int64()), pa.array(at, pa.int32())], ["hash", "key", "at"])
 
-    return items.select("item", "tokens").mapInArrow(run, f"hash long, item {kind}, at int")
+    return items.select("key", "tokens").mapInArrow(run, "hash long, key long, at int")
 
 
 def _filter(hashes: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray | None]:
@@ -250,9 +250,11 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     spots = _clusters(docs, id_col, text_col, masks, _filter(known.select("hash"), n)).distinct()
     spots = cut(spots.withColumn("spot", F.xxhash64("doc", "base", "tokens")), "spots")
     asked = spots.select("doc", "base", "spot", F.explode(F.arrays_zip("at", "hash")).alias("w")).select("doc", "base", "spot", F.col("w.at").alias("doc_at"), F.col("w.hash").alias("hash"))
-    met = sized_join(asked, known, ["hash"], rows=n).select("doc", "base", "spot", "item", (F.col("doc_at") - F.col("at") - F.col("base")).alias("shift")).distinct()
-    laid = met.join(spots.select("doc", "base", "spot", "tokens"), ["doc", "base", "spot"]).select("doc", "base", "item", "shift", "tokens")
-    laid = sized_join(laid, bench.select("item", F.col("tokens").alias("wanted")), ["item"])
+    met = sized_join(asked, known, ["hash"], rows=n).select("doc", "base", "spot", "key", (F.col("doc_at") - F.col("at") - F.col("base")).alias("shift")).distinct()
+    # Ids may be null, so they are compared as such; the numbers beside them are not.
+    same = (F.col("m.spot") == F.col("s.spot")) & (F.col("m.base") == F.col("s.base")) & F.col("m.doc").eqNullSafe(F.col("s.doc"))
+    laid = met.alias("m").join(spots.alias("s"), same).select("m.doc", "m.base", "m.key", "m.shift", "s.tokens")
+    laid = sized_join(laid, bench.select("key", "item", F.col("tokens").alias("wanted")), ["key"])
     kinds = {c: laid.schema[c].dataType.simpleString() for c in ("doc", "item")}
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
