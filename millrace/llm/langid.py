@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 
 FIT_ROWS, WORDS, GRAMS, LONGEST = 10_000, 20_000, 8_000, 5
 #: Unseen words whose scores a task remembers.
-REMEMBER = 200_000
+REMEMBER = 50_000
 UNDECIDED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 

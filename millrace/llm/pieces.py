@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Different parts that a Python worker remembers, and their characters together.
-REMEMBER, REMEMBER_CHARS = 500_000, 16 << 20
+REMEMBER, REMEMBER_CHARS = 200_000, 8 << 20
 _SWAP = str.maketrans({" ": SPACE, SPACE: " "})
 _MISSING = object()
 
@@ -70,51 +70,63 @@ class Pieces:
         self.forget()
 
     def forget(self) -> None:
-        """Start anew with what is remembered of parts: a number for each, and by number the best ids, score, loss of the second
-        best, and the further segmentations as (loss, ids)."""
+        """Start anew with what is remembered of parts: a number for each, and by number the part, best ids, score, and loss of the
+        second best. Further segmentations are looked for where a text needs them."""
         self.known: dict[str, int] = {}
+        self.part: list[str] = []
         self.best: list[bytes] = []
-        self.others: list[tuple[tuple[float, bytes], ...]] = []
         self.score, self.loss, self.chars = array("d"), array("d"), 0
 
     def _fallback(self, c: str) -> tuple[int, ...]:
         return tuple(self.bytes[b] for b in c.translate(_SWAP).encode()) if self.bytes else (self.unknown_id,)
 
+    def _reach(self, part: str, best: list[float], into: list[list[tuple]]) -> None:
+        """Viterbi scores of, and arcs into, the positions of the part that the lists do not have yet."""
+        ends = self.ends
+        for j in range(len(best), len(part) + 1):
+            arcs, top, i = [], -np.inf, j - 1
+            while i >= 0 and (arc := ends.get(part[i:j], _MISSING)) is not _MISSING:
+                if arc:
+                    arcs.append((i, *arc))
+                    if best[i] + arc[1] > top:
+                        top = best[i] + arc[1]
+                i -= 1
+            if not arcs or arcs[0][0] != j - 1:
+                arcs.append((j - 1, self._fallback(part[j - 1]), self.unknown))
+                top = max(top, best[j - 1] + self.unknown)
+            best.append(top)
+            into.append(arcs)
+
     def learn(self, parts: list[str]) -> None:
         """Solve the parts (spaces and U+2581 already swapped). In sorted order, a part goes on from the prefix that it shares with
         the one before: Viterbi scores and arcs up to there are the same."""
-        ends, best, into, last = self.ends, [0.0], [[]], ""
+        best, into, last = [0.0], [[]], ""
         for part in sorted(parts):
-            size, k = len(part), 0
+            k = 0
             for x, y in zip(part, last, strict=False):
                 if x != y:
                     break
                 k += 1
             del best[k + 1 :], into[k + 1 :]
-            for j in range(k + 1, size + 1):
-                arcs, top, i = [], -np.inf, j - 1
-                while i >= 0 and (arc := ends.get(part[i:j], _MISSING)) is not _MISSING:
-                    if arc:
-                        arcs.append((i, *arc))
-                        if best[i] + arc[1] > top:
-                            top = best[i] + arc[1]
-                    i -= 1
-                if not arcs or arcs[0][0] != j - 1:
-                    arcs.append((j - 1, self._fallback(part[j - 1]), self.unknown))
-                    top = max(top, best[j - 1] + self.unknown)
-                best.append(top)
-                into.append(arcs)
+            self._reach(part, best, into)
             last = part
-            found = self._search(size, best, into)
+            found = self._search(len(part), best, into, min(2, self.n))
             self.known[part] = len(self.best)
+            self.part.append(part)
             self.best.append(found[0][1])
             self.score.append(found[0][0])
-            self.others.append(tuple((found[0][0] - s, ids) for s, ids in found[1:]))
             self.loss.append(found[0][0] - found[1][0] if len(found) > 1 else np.inf)
-            self.chars += size
+            self.chars += len(part)
+
+    def others(self, number: int) -> list[tuple[float, bytes]]:
+        """The segmentations of a part after its best, as (loss, ids)."""
+        best, into = [0.0], [[]]
+        self._reach(self.part[number], best, into)
+        first, *rest = self._search(len(self.part[number]), best, into, self.n)
+        return [(first[0] - score, ids) for score, ids in rest]
 
-    def _search(self, size: int, best: list[float], into: list[list[tuple]]) -> list[tuple[float, bytes]]:
-        """The N best paths to position ``size``: score and ids (int32 bytes), best first."""
+    def _search(self, size: int, best: list[float], into: list[list[tuple]], n: int) -> list[tuple[float, bytes]]:
+        """The n best paths to position ``size``: score and ids (int32 bytes), best first."""
         found, heap, made = [], [(-best[size], size, 0, 0.0, None)], 0
         while heap:
             _, at, _, score, path = heappop(heap)
@@ -127,7 +139,7 @@ class Pieces:
                     else:
                         ids.extend(piece)
                 found.append((score, ids.tobytes()))
-                if len(found) == self.n:
+                if len(found) == n:
                     break
                 continue
             for i, piece, s in into[at]:
@@ -157,7 +169,7 @@ class Pieces:
             total, losses, options = float(score[numbers].sum()), loss[numbers], [(0.0, ())]
             few = min(self.n - 1, len(parts))
             for k in np.argpartition(losses, few - 1)[:few].tolist() if few else ():
-                others = self.others[numbers[k]]
+                others = self.others(numbers[k])
                 options = nsmallest(self.n, [*options, *((less + more, (*changes, (k, o))) for less, changes in options for o, (more, _) in enumerate(others))])
             out.append((b"".join(map(self.best.__getitem__, numbers.tolist())), [(total - less, changes) for less, changes in options], numbers))
         return out
@@ -169,7 +181,7 @@ class Pieces:
         for score, changes in options:
             ids = list(map(self.best.__getitem__, numbers.tolist()))
             for k, o in changes:
-                ids[k] = self.others[numbers[k]][o][1]
+                ids[k] = self.others(numbers[k])[o][1]
             out.append((score, np.frombuffer(b"".join(ids), np.int32).tolist()))
         return out
 
