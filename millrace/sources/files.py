@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.scalars import strip
+
 
 def strict_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A row for each line that is neither blank nor a ``#`` comment. A line that does not parse fails the query."""
@@ -39,7 +41,7 @@ def first_rows(rows: DataFrame, n: int, order: list[Column]) -> DataFrame:
 
 def csv(spark: SparkSession, path: str, schema: StructType, encoding: str = "UTF-8") -> DataFrame:
     """With a header line; values stripped, blank ones null."""
-    rows = spark.read.schema(schema).options(header=True, encoding=encoding, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, enforceSchema=True).csv(path)
+    rows = spark.read.schema(schema).options(header=True, encoding=encoding, escape='"', ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, enforceSchema=True).csv(path)
     texts = [f.name for f in schema if f.dataType.typeName() == "string"]
     return rows.withColumns({c: F.nullif(F.trim(c), F.lit("")) for c in texts})
 
@@ -63,7 +65,7 @@ def role_parties(roles: dict[str, str]) -> Column:
     """Columns of names between semicolons as one array of struct<name, role>, in the columns' order, blanks dropped."""
     parts = []
     for column, role in roles.items():
-        names = F.filter(F.transform(F.split(F.coalesce(F.col(column), F.lit("")), ";"), F.trim), lambda n: n != "")
+        names = F.filter(F.transform(F.split(F.coalesce(F.col(column), F.lit("")), ";"), lambda n: F.trim(n)), lambda n: n != "")
         parts.append(_tagged(names, role))
     return F.flatten(F.array(*parts))
 
@@ -75,7 +77,7 @@ def _tagged(names: Column, role: str) -> Column:
 def blocks_of(df: DataFrame, text: str, heading: str, least: int = 1) -> DataFrame:
     """A row for each block of a text, split before every heading (a regular expression), with its place. Blocks under ``least``
     characters go."""
-    pieces = F.transform(F.split(F.col(text), rf"(?={heading})"), F.trim)
+    pieces = F.transform(F.split(F.col(text), rf"(?={heading})"), lambda b: strip(b))
     exploded = df.select(*[c for c in df.columns if c != text], F.posexplode(pieces).alias("place", "block"))
     return exploded.where(F.length("block") >= least)
 
