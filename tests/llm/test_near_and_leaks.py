@@ -107,6 +107,39 @@ def test_a_forest_has_the_groups_of_all_links():
     assert len(edges) == 60 - len(set(want.values()))
 
 
+def shingle_set(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_near_texts_are_the_components_of_exact_similarity(spark):
+    r, rows = random.Random(11), []
+    vocabulary, odds = [f"w{i}" for i in range(5000)], [1 / (i + 1) for i in range(5000)]
+    for _ in range(40):
+        base = r.choices(vocabulary, odds, k=200)
+        some = list(base)
+        for at in r.sample(range(200), 4):
+            some[at] = "changed"
+        many = list(base)
+        for at in r.sample(range(200), 6):
+            many[at] = "altered"
+        rows += [" ".join(t) for t in (base, base[: r.randint(160, 166)], base[-r.randint(168, 180) :], some, many)]
+    sets = [shingle_set(t) for t in rows]
+    alike = [(a, b) for a in range(len(rows)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = roots(range(len(rows)), alike)
+    got = simhash.near_texts(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    assert {x.doc_id: x.component_id for x in got} == want and len(alike) > 100
+
+
+def test_an_exact_forest_has_the_groups_of_all_links():
+    r = np.random.default_rng(6)
+    sets = [np.unique(np.concatenate([np.arange(20 * (i % 4), 20 * (i % 4) + 20)[r.random(20) < 0.93], r.integers(200, 999, 1)])).astype(np.uint64) for i in range(60)]
+    pairs = [(a, b) for a in range(60) for b in range(a) if len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))]
+    edges = simhash.exact_forest(np.arange(60), sets, 0.8)
+    want = roots(range(60), pairs)
+    assert roots(range(60), edges.tolist()) == want and len(edges) == 60 - len(set(want.values()))
+
+
 ITEMS = [(1, "seven little tokens that stand here together and then a few more of them follow"), (2, "Short item"), (3, None), (4, ""), (5, "!!!"), (6, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"), (None, "an item without any number of its own that is still looked for in texts")]
 
 
