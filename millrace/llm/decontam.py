@@ -271,7 +271,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is found. All rows of a null id stay or go together."""
-    bad = cut(contaminated(docs, items, id_col, text_col, item_col, item_text_col).select(F.col(id_col).alias("id")).distinct(), "leaks")
-    keyed = docs.select(wrapped(docs).alias("row"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")).alias("key"))
-    return sized_join(keyed, bad.select(F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("key")), ["key"], "left_anti").select("row.*")
+    """The rows of ``docs`` in which no benchmark item is found. Each row is judged by its own text, also where ids repeat or are null."""
+    key = F.struct(F.col(f"`{id_col}`").cast("string").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text"))
+    named = docs.select(key.alias("__doc"), F.col(f"`{text_col}`").alias("__text"))
+    bad = cut(contaminated(named, items, "__doc", "__text", item_col, item_text_col).select(F.col("__doc").alias("key")).distinct(), "leaks")
+    text = F.concat(F.col("key.text").cast("string"), F.lit(":"), F.coalesce(F.concat(F.lit("="), "key.id"), F.lit("")))
+    keyed = docs.select(wrapped(docs).alias("row"), key.alias("key")).select("row", text.alias("key"))
+    return sized_join(keyed, bad.select(text.alias("key")), ["key"], "left_anti").select("row.*")

@@ -284,7 +284,14 @@ def exact_forest(node: np.ndarray, sets: list[np.ndarray], similarity: float) ->
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component, the row with the smallest id stays, with all its columns."""
-    keep = near_texts(docs, id_col, text_col, words, similarity).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("keep_id")).distinct()
-    rows = docs.select(wrapped(docs).alias("row"), F.col(f"`{id_col}`").alias("keep_id"))
-    return rows.join(keep, "keep_id", "left_semi").select("row.*")
+    """The rows of ``docs`` without near copies: of each component, one row with the smallest id stays, with all its columns. A null
+    id comes after all others, so a component without any other keeps a row of a null id. Of rows that repeat the id and the text,
+    one stays; which, is not said."""
+    rows = _grouped(docs, id_col, text_col, words, similarity).groupBy("root", "id", "key").agg(F.count(F.lit(1)).alias("n"))
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key", "n")).alias("best"))
+    best = cut(best.select(F.col("best.id").alias("keep_id"), F.col("best.key").alias("keep_key"), F.col("best.n").alias("n")), "kept")
+    rows = docs.select(wrapped(docs).alias("row"), F.col(f"`{id_col}`").alias("id"), _text_key(text_col).alias("key"))
+    met = (F.col("key") == F.col("keep_key")) & F.col("id").eqNullSafe(F.col("keep_id"))
+    once = rows.join(best.where("n = 1"), met, "left_semi").select("row")
+    repeated = sized_join(rows, best.where("n > 1").select(F.col("keep_key").alias("key"), F.col("keep_id")), ["key"]).where(F.col("id").eqNullSafe(F.col("keep_id")))
+    return once.union(repeated.groupBy("id", "key").agg(F.any_value("row").alias("row")).select("row")).select("row.*")

@@ -131,6 +131,16 @@ def test_near_texts_are_the_components_of_exact_similarity(spark):
     assert {x.doc_id: x.component_id for x in got} == want and len(alike) > 100
 
 
+def test_rows_without_an_id_outlive_both_stages(spark):
+    alone, twin, leak = "a row that has no number and no copy", "two rows with this text and no number at all", "a leaking passage that is in the list of items to be taken out of all texts"
+    rows = [(None, alone), (None, twin), (None, twin), (None, leak), (1, "the same id"), (1, "another text of the same id"), (2, "said with and without"), (None, "said with and without"), (3, "one row twice"), (3, "one row twice"), (1, leak)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(simhash.keep_one(docs).collect(), key=str)
+    assert kept == sorted([(None, alone), (None, twin), (1, leak), (1, "the same id"), (1, "another text of the same id"), (2, "said with and without"), (3, "one row twice")], key=str)
+    left = decontam.decontaminate(docs, spark.createDataFrame([(1, leak)], "item_id long, text string")).collect()
+    assert sorted(left, key=str) == sorted((r for r in rows if r[1] != leak), key=str)
+
+
 def test_an_exact_forest_has_the_groups_of_all_links():
     r = np.random.default_rng(6)
     sets = [np.unique(np.concatenate([np.arange(20 * (i % 4), 20 * (i % 4) + 20)[r.random(20) < 0.93], r.integers(200, 999, 1)])).astype(np.uint64) for i in range(60)]
