@@ -1,6 +1,6 @@
 """Operator 10, benchmark decontamination by spaced-seed hashing.
 
-Tokens are lower-cased runs of letters and digits (any byte outside ASCII belongs to a word). A fixed mask slides over the tokens;
+Tokens are lower-cased runs of letters and digits (any byte outside ASCII belongs to a word). Fixed masks slide over the tokens;
 the hash of a window takes the positions that the mask selects and ignores the others, so a substitution at an ignored position
 does not change it. Hashes of training documents are joined with those of the benchmark items. A match proposes a diagonal (the
 item's place in the document), and around each proposal the two token sequences are compared: an item is found in a document if
@@ -11,8 +11,8 @@ hashes are few enough to be broadcast themselves, a look-up lets go of the rest.
 other way round. What passes travels as one row for each cluster of such windows with the
 tokens around it, so texts are read once and never shuffled.
 
-Defined results: null and empty texts hold nothing; an item without tokens is never found; an item shorter than the masks is
-looked for as a whole, without ignored positions; rows that repeat an id and text give the same findings once; items that repeat
+Defined results: null and empty texts hold nothing; an item without tokens is never found; an item of under five
+tokens is looked for as a whole, without ignored positions; rows that repeat an id and text give the same findings once; items that repeat
 are each found; empty tables give no findings.
 """
 
@@ -27,8 +27,18 @@ from pyspark.sql import functions as F
 
 from .common import cut, sized_join, wrapped
 
-#: 1: the token counts; 0: it is ignored.
-MASKS = ("1111001111", "11011011011", "10111010111")
+#: Of an item's length (LONG and more share the last): masks, 1 where the token counts, 0 where it is ignored. Slid over the item, they
+#: miss none of the patterns of substitutions that SIMILARITY allows: two in 10 to WINDOW tokens, one in 5 to 9, none in fewer.
+MASKS = {
+    5: ("111", "1101"),
+    6: ("1111", "11011"),
+    7: ("11111", "111101", "110111"),
+    8: ("111111", "1111011", "1101111"),
+    9: ("1111111", "11111101", "11110111", "11011111"),
+    10: ("1101111", "11110011", "110011011", "11110101", "10101111"),
+    11: ("11110111", "110011111", "1111010011", "1101001111", "1101110101", "101111011"),
+}
+LONG = max(MASKS)
 WINDOW, SIMILARITY = 13, 0.8
 #: Tokens kept on either side of a window that passed, and the distance at which two such windows still share a row.
 MARGIN = 2 * WINDOW
@@ -92,6 +102,11 @@ def _factors(mask: str) -> list[tuple[int, np.uint64]]:
     return out
 
 
+def masks_of(length: int) -> tuple[str, ...]:
+    """The masks for items of so many tokens. An item of under five is looked for as a whole."""
+    return MASKS.get(min(length, LONG), ("1" * length,))
+
+
 def seeds(tokens: np.ndarray, edges: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     """Positions at which the mask fits into a text, and the hashes there."""
     n = len(tokens) - len(mask) + 1
@@ -146,13 +161,12 @@ def _item_tokens(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _item_seeds(items: DataFrame) -> DataFrame:
     """hash, key, at (position in the item) for every window of every mask that an item's length allows."""
-    longest = max(map(len, MASKS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, tokens in enumerate(b.column(1).to_pylist()):
                 t = np.array(tokens, np.int64).view(np.uint64)
-                for mask in MASKS if len(t) >= longest else ("1" * len(t),):
+                for mask in masks_of(len(t)):
                     at, h = seeds(t, np.array([0, len(t)]), mask)
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), b.column(0)[i].as_py()), pa.int64()), pa.array(at, pa.int32())], ["hash", "key", "at"])
 
@@ -244,8 +258,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     item_start (where it begins, in tokens)."""
     bench = cut(_item_tokens(items, item_col, item_text_col), "items")
     known = cut(_item_seeds(bench), "seeds")
-    longest = max(map(len, MASKS))
-    masks = [*MASKS, *("1" * r["n"] for r in bench.where(F.col("n") < longest).select("n").distinct().collect())]
+    lengths = sorted(r["n"] for r in bench.select(F.least("n", F.lit(LONG)).alias("n")).distinct().collect())
+    masks = list(dict.fromkeys(m for n in lengths for m in masks_of(n)))
     n = known.count()
     spots = _clusters(docs, id_col, text_col, masks, _filter(known.select("hash"), n)).distinct()
     spots = cut(spots.withColumn("spot", F.xxhash64("doc", "base", "tokens")), "spots")

@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import numpy as np
 import xxhash
@@ -180,6 +181,23 @@ def test_passages_are_found_with_substitutions_and_others_are_not(spark):
     assert got[1, 1] == (13, 13) and got[2, 1][0] >= 11 and got[3, 2] == (2, 2)
 
 
+def test_every_accepted_pattern_of_substitutions_is_found(spark):
+    items, rows = [], []
+    for n in range(1, 17):
+        item = [f"i{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        width = min(n, 13)
+        allowed = width - -(-4 * width // 5)
+        for changed in range(min(allowed + 2, width)):
+            for places in combinations(range(width), changed):
+                # Longer items are there only as far as the stretch goes.
+                text = ["y" if k in places else t for k, t in enumerate(item[:width])]
+                rows.append(((n, changed <= allowed), " ".join(["z", "z", *text, *["z"] * (n - width)])))
+    want = {(i, n) for i, ((n, good), _) in enumerate(rows) if good}
+    got = leaks(spark, [(i, t) for i, (_, t) in enumerate(rows)], items)
+    assert set(got) == want and sum(n == 13 for _, n in want) == 1 + 13 + 78
+
+
 def test_the_way_past_the_broadcast_gives_the_same(spark, monkeypatch):
     rows = [(i, t) for i, t, _ in data.texts()]
     rows += [(900, rows[7][1] + " tail"), (901, "head " + rows[9][1])]
