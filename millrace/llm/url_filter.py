@@ -3,7 +3,7 @@
 Rules name a host and the beginning of a path; one fits its host and all subdomains, and the longest that fits decides.
 
 The tree. Within a host, a path becomes its shape (digit runs are ``#``), and each host's shapes are generalised level by level. At
-a node, a segment stays literal only if it carries enough of the node's urls; the others become the wildcard ``*``. Literal
+a node, a segment can stay literal if it has ``least`` urls, however many its siblings have; the others become ``*``. Literal
 branches that are statistically like the rest of their siblings are merged into the wildcard as well: two-proportion z-tests on
 the share of labelled urls, on the share of bad ones among them, and on the share that ends at the next level must all stay under
 ``z``. A branch is compared with the sum of its siblings, never with each of them. A template's purity is its share of bad labels
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, sized_join
 
-LEAST, SHARE, Z, SMOOTH, REJECT, DEPTH = 5, 0.05, 1.96, 2.0, 0.8, 6
+LEAST, Z, SMOOTH, REJECT, DEPTH = 5, 1.96, 2.0, 0.8, 6
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -57,7 +57,7 @@ def _differ(hit: str, of: str) -> Column:
     return F.coalesce(F.abs(h / F.nullif(n, F.lit(0)) - rest_h / F.nullif(rest_n, F.lit(0))) > F.lit(Z) * error, F.lit(False))
 
 
-def templates(urls: DataFrame, depth: int = DEPTH, least: int = LEAST, share: float = SHARE) -> DataFrame:
+def templates(urls: DataFrame, depth: int = DEPTH, least: int = LEAST) -> DataFrame:
     """Of host, path, bad (1, 0 or null): host, shape, template, purity, one row for each (host, shape)."""
     sums = [F.count(F.lit(1)).cast("double").alias("n"), F.count("bad").cast("double").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("bad")]
     tree = urls.withColumn("shape", shape(F.col("path"))).groupBy("host", "shape").agg(*sums)
@@ -71,7 +71,7 @@ def templates(urls: DataFrame, depth: int = DEPTH, least: int = LEAST, share: fl
         kids = cut(kids, "kids")
         node = kids.groupBy("host", "template").agg(*[F.sum(s).alias(f"all_{s}") for s in stats], F.count(F.lit(1)).alias("branches"))
         kids = sized_join(kids, node, ["host", "template"])
-        carries = (F.col("n") >= least) & (F.col("n") >= share * F.col("all_n"))
+        carries = F.col("n") >= least
         own = (F.col("branches") == 1) | _differ("labelled", "n") | _differ("bad", "labelled") | _differ("ends", "n")
         literal = kids.where(carries & own).select("host", "template", "segment", F.lit(True).alias("literal"))
         here = sized_join(here, literal, ["host", "template", "segment"], "left")

@@ -4,7 +4,7 @@ from itertools import combinations
 import numpy as np
 import xxhash
 
-from millrace.llm import decontam, simhash
+from millrace.llm import decontam, simhash, url_filter
 from millrace.llm.common import components, sized_join
 from tests.llm import data
 
@@ -226,3 +226,11 @@ def test_overlap_by_brute_force():
         inside = [a for a in range(len(item) - width + 1) if a + shift >= 0 and a + width + shift <= len(doc)]
         want = max((sum(item[a + k] == doc[a + k + shift] for k in range(width)) for a in inside), default=0)
         assert decontam.overlap(np.array(doc), np.array(item), shift, window)[0] == want
+
+
+def test_a_small_bad_branch_of_a_large_host_stays_literal(spark):
+    rows = [(f"http://big.example/d{chr(97 + k // 26)}{chr(97 + k % 26)}/x{chr(97 + i % 26)}", 0) for k in range(40) for i in range(100)]
+    rows += [(f"http://big.example/bad/x{chr(97 + i % 26)}", 1) for i in range(160)]
+    urls = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+    got = {r.page_id: r.verdict for r in url_filter.judge(urls, [], label_col="bad").collect()}
+    assert got == {i: "block" if b else "allow" for i, (_, b) in enumerate(rows)}
