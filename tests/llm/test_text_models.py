@@ -205,36 +205,16 @@ def test_base_scores_by_brute_force(spark, monkeypatch, frequent):
 
 def rows_of(text, at, sizes):
     """Of the byte at a place: each predictor's four rows, by the definition and in whole numbers."""
-    def mul(x, y):
-        return x * int(y) % 2**64
-
-    seen = bytes(mixing.PAD) + text
-    at += mixing.PAD
+    seen, c = bytes(8) + text[:at], text[at]
     inside = 0
-    while inside < 15 and seen[at - 1 - inside] > 32:
+    while inside < 8 and seen[len(seen) - 1 - inside] > 32:
         inside += 1
-    top = lambda some: int.from_bytes(some.rjust(8, b"\0"), "little")
-    word = top(seen[at - min(inside, 8) : at])
-    pair = 0
-    if inside < 15:
-        end = at - 1 - inside
-        n = 0
-        while n < 8 and seen[end - 1 - n] > 32:
-            n += 1
-        pair = top(seen[end - n : end])
-    pair = mul(pair, mixing._MIX)
-    pair = ((pair ^ pair >> 31) + word) % 2**64
+    word = int.from_bytes(seen[len(seen) - inside :].rjust(8, b"\0"), "little")
     first, out = 0, []
-    for k, key in enumerate((*(int.from_bytes(seen[at - n : at], "little") for n in (2, 3, 5)), word, pair)):
-        h = mul(key + k + 1, mixing._ODD[k])
-        h = mul(h ^ h >> 32, mixing._MIX)
-        places = []
-        for i in range(4):
-            if i:
-                h = (h + mul((seen[at] >> 8 - 2 * i & 3) + 1, 0x1D8E4E27C47D124F)) % 2**64
-                h = mul(h ^ h >> 29, mixing._ODD[k])
-            places.append(first + ((h >> 32) * int(sizes[k]) >> 32))
-        out.append(places)
+    for k, key in enumerate((int.from_bytes(seen[-3:], "little"), int.from_bytes(seen[-6:], "little"), word)):
+        h = (key + k + 1) * int(mixing._ODD[k]) % 2**64 >> 32
+        bits = int(sizes[k]).bit_length() - 1
+        out.append([first + ((h ^ (4**i | c >> 8 - 2 * i) * 0x85EBCA6B % 2**32) * 0x9E3779B1 % 2**32 >> 32 - bits) for i in range(4)])
         first += int(sizes[k])
     return out
 
