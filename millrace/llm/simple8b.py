@@ -17,7 +17,9 @@ text; null ids come first and are stored as the smallest int64; an empty table m
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -31,9 +33,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, new_folder
+from .common import cut, new_folder, sized_join
 
-MAGIC, SUFFIX, BLOCK, FILE_IDS = b"S8B-IDS1", ".s8b", 256, 1 << 20
+MAGIC, SUFFIX, BLOCK, FILE_IDS = b"S8B-IDS1", ".s8b", 256, 1 << 21
 #: Ids in a word and bits of each, by selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)[2:]
 WIDTHS = 60 // COUNTS
@@ -42,6 +44,8 @@ ESCAPE = 15
 #: Different words that a Python worker keeps the ids of.
 KNOWN_WORDS = 800_000
 _MARKS = b".,!?;:%&$#*|"
+#: The first letter after those of Latin alphabets, and the one before it that lower case makes a letter and a mark.
+_BEYOND, _DOTTED = "\u0250", "\u0130"
 #: How byte-level vocabularies write the bytes that are not printable in Latin-1: in order, from U+0100 on.
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 NO_ID = np.iinfo(np.int64).min
@@ -149,25 +153,40 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out[0], out[1].astype(np.int64), decode(out[3], out[2], n)
 
 
+def _latin(stem: bytes) -> bool:
+    """Whether the text ends in a letter before U+0250 that lower case leaves one letter."""
+    last = stem[-2:].decode("utf-8", "replace")[-1:]
+    return last.isalpha() and last < _BEYOND and last != _DOTTED
+
+
 class WordTokenizer:
-    """UTF-8 texts to ids with a ``tokenizers`` file that lower-cases, drops white space and never joins across it.
+    """UTF-8 texts to the ids that a ``tokenizers`` file gives them.
 
-    For such a file a text's ids are those of its words between ASCII white space, one after the other, so each different word is
-    encoded once and kept for later texts, up to a bound. A word that ends in common punctuation is encoded in two: where a letter
-    or digit meets a punctuation mark, the pre-tokenizer cuts as well.
+    A file whose normaliser is PLAIN and whose pre-tokenizer is CUTS lower-cases, drops white space and never joins across it. A
+    text's ids are then those of its words between ASCII white space, one after the other, so each different word is encoded once and
+    kept for later texts, up to a bound. A word that ends in common punctuation after an ASCII digit or a letter of a Latin alphabet
+    is encoded in two: normalising leaves such a letter a letter, and the pre-tokenizer cuts there as well. Whatever else a file does, it
+    gets whole texts.
     """
 
+    PLAIN = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    CUTS = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+    BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         self.model, self.known = Tokenizer.from_file(path), {}
+        parts = json.loads(self.model.to_str())
+        alone = all(not (a["normalized"] or a["single_word"] or a["lstrip"] or a["rstrip"]) and not re.search(r"\s", a["content"]) for a in parts["added_tokens"])
+        self.by_word = alone and parts["normalizer"] == self.PLAIN and parts["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [self.CUTS, self.BYTES]} and not parts["post_processor"] and not parts["truncation"] and not parts["padding"]
 
     def _learn(self, words: set[bytes]) -> None:
         known, halves, new = self.known, {}, set()
         for w in words:
             stem = w.rstrip(_MARKS)
-            if len(stem) < len(w) and (stem[-1:].isalnum() or stem and stem[-1] >= 128 and stem.decode()[-1].isalpha()):
+            if len(stem) < len(w) and (stem[-1:].isalnum() or _latin(stem)):
                 halves[w] = (stem, w[len(stem) :])
                 new.update(halves[w])
             else:
@@ -177,7 +196,7 @@ class WordTokenizer:
         plain, tokenize = set(), self.model.model.tokenize
         for w in new:
             text = w.decode()
-            if text.isalpha() and (text.isascii() or max(text) < "\u0250" and "\u0130" not in text):
+            if text.isalpha() and (text.isascii() or max(text) < _BEYOND and _DOTTED not in text):
                 text = text.lower() if text.isascii() else text.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
                 known[w] = array("I", [t.id for t in tokenize(text)]).tobytes()
                 plain.add(w)
@@ -191,6 +210,9 @@ class WordTokenizer:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (a string array), and how many each has."""
+        if not self.by_word:
+            found = [e.ids for e in self.model.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         words, index = coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy()
@@ -270,10 +292,11 @@ def read(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"part": [int(name[5:12])] * len(doc), "seq": [int(name[13:20])] * len(doc), "doc": doc, "inner": ends - counts, "n": counts, "crc": pa.array(crc, pa.int64())})
 
     rows = cut(files.mapInArrow(run, "part long, seq long, doc long, inner long, n long, crc long"), "ids-read")
+    # Offsets in two levels, from a row for each file and then one for each range; the rows of a range are its files.
     sizes = rows.groupBy("part", "seq").agg(F.sum("n").alias("size"))
     parts = sizes.groupBy("part").agg(F.sum("size").alias("size"))
     before = parts.select("part", F.coalesce(F.sum("size").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     inner = F.coalesce(F.sum("size").over(W.partitionBy("part").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("part", "seq", inner.alias("skip")).join(before, "part").select("part", "seq", (F.col("base") + F.col("skip")).alias("first"))
-    # A row for each file: bounded by the ids in the corpus over FILE_IDS plus the number of ranges.
-    return rows.join(F.broadcast(starts), ["part", "seq"]).select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_col), (F.col("first") + F.col("inner")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
+    found = sized_join(rows, cut(starts, "starts"), ["part", "seq"])
+    return found.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_col), (F.col("first") + F.col("inner")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))

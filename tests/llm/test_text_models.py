@@ -1,4 +1,6 @@
 import math
+import random
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -175,6 +177,35 @@ def test_words_apart_are_the_text_as_a_whole():
         assert apart(pa.array([t]))[0].tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_ids_of_any_letters_and_marks_are_those_of_the_library():
+    import pyarrow as pa
+
+    r = random.Random(8)
+    letters = [chr(c) for c in range(0x21, 0x3000) if unicodedata.category(chr(c))[0] in "LMNPS"]
+    odd = [chr(c) for c in range(0x3000, 0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c))[0] in "LMN"]
+    marks, usual = ".,!?;:%&$#*|'\"()-<>", "abcdeéßñüİıǅ019"
+    one = lambda: r.choice(marks if (x := r.random()) < 0.3 else usual if x < 0.6 else letters if x < 0.9 else odd)
+    texts = [t + m for t in ("İ", "\u095f", "\u095c", "\u09dc", "\u0958", "a\u0301", "ŉ", "ǰ", "K", "<|endoftext|>", "x<|startoftext|") for m in (".", ",", "|", "!!", "'s.")]
+    texts += ["".join(one() for _ in range(r.randint(1, 5))) + r.choice(marks) for _ in range(100_000)]
+    texts += [" ".join(r.sample(texts, 6)) for _ in range(2_000)]
+    whole, apart = Tokenizer.from_file(WORDS), simple8b.WordTokenizer(WORDS)
+    assert apart.by_word
+    ids, counts = apart(pa.array(texts))
+    want = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, want))
+    assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_another_kind_of_file_gets_whole_texts():
+    import pyarrow as pa
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, apart = Tokenizer.from_file(path), simple8b.WordTokenizer(path)
+    texts = ["Two  words here.", "", "a\nb İ."]
+    assert not apart.by_word
+    assert apart(pa.array(texts))[0].tolist() == [i for t in texts for i in whole.encode(t, add_special_tokens=False).ids]
+
+
 # Language model
 
 
