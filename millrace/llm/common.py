@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which the small side of a join is broadcast; beyond it the join is salted.
 BROADCAST_ROWS = 200_000
-#: Copies of the small side of a salted join.
-SALTS = 32
+#: Copies of the small side of a salted join, and rows of a key from which ``weighed_join`` salts it.
+SALTS, HOT = 32, 1000
 #: ASCII white space, as Java, RE2 and Python regular expressions read it.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -21,9 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a new one only where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where that is unset, a local session (as in tests) gets a new
+    folder of its machine; on a cluster that is an error, since its machines would not see each other's."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -57,6 +60,17 @@ def sized_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
     return dealt.join(salted, [*keys, "__salt"], how).drop("__salt")
 
 
+def weighed_join(big: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """Inner equi-join to ``small``, which has each key once and tells in column ``weight`` how many rows of ``big`` have it.
+
+    Keys of over HOT rows (one in HOT rows of ``big`` at most) go by ``sized_join``, so their rows stay where they are; the others are
+    joined by a plain shuffle, in which no key has more than HOT rows."""
+    hot = small.where(F.col(weight) > HOT).withColumn("__hot", F.lit(True))
+    marked = sized_join(big, hot, keys, "left")
+    cool = marked.where("__hot is null").select(*big.columns).join(small.where(F.col(weight) <= HOT), keys)
+    return marked.where("__hot").drop("__hot").unionByName(cool)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list by alternating large-star and small-star steps.
 

@@ -6,12 +6,13 @@ readers expect. ``read`` lists a folder of archives and gives a row for each rec
 and metadata to the response or revisit that they are concurrent to, and revisits to the response that they refer to, and emits one
 nested row for each capture.
 
-Among pages with equal payloads of ``least`` bytes or more, the one with the largest id is the response. Payloads are grouped by
-their SHA-1, their SHA-256 and their length, with partial aggregation, so a payload that a third of all pages share is no group
-that any task gathers. Pages travel once, keyed by their own id.
+Every row has a record of its own. Among pages with equal payloads of ``least`` bytes or more, the one with the largest id is the
+response, and of rows that share that id the one with the largest url. Payloads are told apart by their SHA-1, their SHA-256 and
+their length, and combined before the shuffle, so a payload that a third of all pages share travels once for each task; what such
+pages have besides is joined by ``weighed_join``, and equal rows are counted first and dealt out again.
 
-Defined results: null payloads are empty; rows that repeat id and payload are one capture, under the smallest url; null ids come
-before all others; a null url is written as an empty one; an empty table makes no archives and reads as no rows. A request or
+Defined results: null payloads are empty; rows that repeat, or have no id, get a record each; null ids come before all others; a null url is
+written as an empty one, and line ends in urls as spaces; an empty table makes no archives and reads as no rows. A request or
 metadata record that is concurrent to no response or revisit in the archives is left out of the assembly; of several that name the
 same one, the one with the smallest record id is nested, and ``n_requests`` and ``n_metadata`` count them all.
 """
@@ -26,12 +27,14 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SALTS, cut, new_folder
+from .common import SALTS, cut, new_folder, weighed_join
 
 SUFFIX, FILE_BYTES = ".warc.gz", 16 << 20
+#: Equal rows of a table that are written at once.
+CHUNK = 1000
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL name space of RFC 4122
 _DATE = "1970-01-01T00:00:00Z"
 RECORD = "record_id string, type string, concurrent_to string, refers_to string, target_uri string, date string, content_type string, payload_digest string, payload_bytes long, fields map<string,string>, payload binary"
@@ -81,30 +84,42 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 4 + size
 
 
-def originals(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", least: int = 0) -> DataFrame:
-    """id, sha1 and original (the id of the page whose response holds the payload) of each different (id, payload)."""
-    payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
-    keys = pages.select(F.col(id_col).alias("id"), F.sha1(payload).alias("sha1"), F.sha2(payload, 256).alias("sha2"), F.length(payload).alias("size")).distinct()
-    group = ["sha1", "sha2", "size", "alone"]
-    keys = keys.withColumn("alone", F.when(F.col("size") >= least, F.lit("")).otherwise(_key("id")))
-    best = keys.groupBy(*group).agg(F.max("id").alias("original"))
-    return keys.join(best, group).select("id", "sha1", "original")
-
-
-def _key(id_col: str) -> Column:
-    """An id as a text that joins, null included."""
-    return F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+def captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0) -> DataFrame:
+    """What to write: id, url, sha1, payload, first_id, first_url, first, times.
+
+    Each row stands for the ``times`` equal rows of ``pages`` numbered from ``first`` on. ``payload`` is null for revisits, which refer to
+    row 0 of (first_id, first_url, sha1); among equal payloads of ``least`` bytes or more that is the row with the largest id,
+    and of several with that id the one with the largest url."""
+    payload = F.coalesce(F.col(f"`{payload_col}`"), F.lit("")).cast("binary")
+    rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{url_col}`"), F.lit("")).alias("url"), payload.alias("payload"))
+    rows = rows.withColumns({"sha1": F.sha1("payload"), "sha2": F.sha2("payload", 256), "size": F.octet_length("payload")})
+    small = F.when(F.col("size") < least, F.col("payload"))
+    keys = cut(rows.groupBy("id", "url", "sha1", "sha2", "size", small.alias("small")).agg(F.count(F.lit(1)).alias("times")), "captures")
+    same = ["sha1", "sha2", "size"]
+    groups = keys.where("small is null").groupBy(*same).agg(F.max(F.struct("id", "url")).alias("best"), F.sum("times").alias("all"), F.count(F.lit(1)).alias("members"))
+    groups = cut(groups.select(*same, F.col("best.id").alias("first_id"), F.col("best.url").alias("first_url"), "all", "members"), "groups")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    # Only one row for each payload (and task) carries it through a shuffle, however many pages share it.
+    held = rows.where(F.col("size") >= least).groupBy(*same).agg(F.first("payload").alias("payload"))
+    responses = groups.join(held, same).select(F.col("first_id").alias("id"), F.col("first_url").alias("url"), "sha1", "payload", "first_id", "first_url", zero.alias("first"), one.alias("times"))
+    shared = weighed_join(keys.where("small is null"), groups.where(F.col("all") > 1).drop("all"), same, "members")
+    chief = F.when(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("url") == F.col("first_url")), one).otherwise(zero)
+    revisits = shared.select("id", "url", "sha1", F.lit(None).cast("binary").alias("payload"), "first_id", "first_url", chief.alias("first"), (F.col("times") - chief).alias("times"))
+    alone = keys.where("small is not null").select("id", "url", "sha1", F.col("small").alias("payload"), F.col("id").alias("first_id"), F.col("url").alias("first_url"), zero.alias("first"), "times")
+    both = revisits.unionByName(alone).where("times > 0")
+    # Rows that stand for many are dealt out, so that one page which fills a third of the table is no single task's work.
+    step = F.explode(F.sequence(zero, F.col("times") - 1, F.lit(CHUNK).cast("long"))).alias("step")
+    many = both.where(F.col("times") > CHUNK).select("*", step)
+    many = many.withColumns({"first": F.col("first") + F.col("step"), "times": F.least(F.lit(CHUNK).cast("long"), F.col("times") - F.col("step"))}).drop("step")
+    return responses.unionByName(both.where(F.col("times") <= CHUNK)).unionByName(many.repartition("id", "url", "sha1", "first"))
 
 
 def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0, folder: str | None = None) -> str:
     """Write the pages as archives of about FILE_BYTES to a folder of the shared store, and return the folder."""
     folder = folder or new_folder(pages.sparkSession, "warc")
-    chosen = originals(pages, id_col, payload_col, least)
-    rows = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumns({"sha1": F.sha1("payload"), "key": _key("id")}).groupBy("key", "sha1").agg(F.min("id").alias("id"), F.min("url").alias("url"), F.first("payload").alias("payload"))
-    chosen = chosen.select(_key("id").alias("key"), "sha1", "original")
-    both = rows.join(chosen, ["key", "sha1"]).select("id", "sha1", "url", "payload", "original")
-    both = both.withColumn("part", F.spark_partition_id()).sortWithinPartitions("id", "sha1")
+    rows = captures(pages, id_col, url_col, payload_col, least).withColumn("part", F.spark_partition_id())
+    rows = rows.sortWithinPartitions("id", "url", "sha1", "first")  # a task that runs again writes the same files
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, at = pafs.FileSystem.from_uri(folder)
@@ -122,27 +137,30 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
             held, size, seq = [], 0, seq + 1
             return out
 
-        for b in batches:
-            for i in range(b.num_rows):
-                page, sha1, url, payload, original, part = (b.column(c)[i].as_py() for c in range(6))
-                rid, digest = record_id(f"page:{page}:{sha1}"), base64.b32encode(bytes.fromhex(sha1)).decode()
-                http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
-                if original == page:
-                    main = record("response", rid, url, "application/http;msgtype=response", http + payload, WARC_Payload_Digest=f"sha1:{digest}")
-                else:
-                    main = record("revisit", rid, url, "application/http;msgtype=response", http, WARC_Payload_Digest=f"sha1:{digest}", WARC_Refers_To=record_id(f"page:{original}:{sha1}"), WARC_Profile="http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-                host, _, path = url.partition("://")[2].partition("/")
-                ask = record("request", record_id(f"request:{page}:{sha1}"), url, "application/http;msgtype=request", f"GET /{path.partition('#')[0]} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode(), WARC_Concurrent_To=rid)
-                meta = record("metadata", record_id(f"metadata:{page}:{sha1}"), url, "application/warc-fields", b"" if page is None else f"page: {page}\r\n".encode(), WARC_Concurrent_To=rid)
-                for x in (main, ask, meta):
-                    held.append(x)
-                    size += len(x)
-                if size >= FILE_BYTES:
-                    yield flush()
+        for whole in batches:
+            for i in range(0, whole.num_rows, 256):
+                for page, url, sha1, payload, first_id, first_url, first, times, part in zip(*(c.to_pylist() for c in whole.slice(i, 256).columns), strict=True):
+                    digest = base64.b32encode(bytes.fromhex(sha1)).decode()
+                    host, _, path = url.partition("://")[2].partition("/")
+                    for nth in range(first, first + times):
+                        name = f"{page}:{nth}:{sha1}:{url}"
+                        rid = record_id(f"page:{name}")
+                        if payload is not None:
+                            http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
+                            main = record("response", rid, url, "application/http;msgtype=response", http + payload, WARC_Payload_Digest=f"sha1:{digest}")
+                        else:
+                            http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+                            main = record("revisit", rid, url, "application/http;msgtype=response", http, WARC_Payload_Digest=f"sha1:{digest}", WARC_Refers_To=record_id(f"page:{first_id}:0:{sha1}:{first_url}"), WARC_Profile="http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
+                        ask = record("request", record_id(f"request:{name}"), url, "application/http;msgtype=request", f"GET /{path.partition('#')[0]} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode(), WARC_Concurrent_To=rid)
+                        meta = record("metadata", record_id(f"metadata:{name}"), url, "application/warc-fields", b"" if page is None else f"page: {page}\r\n".encode(), WARC_Concurrent_To=rid)
+                        held += [main, ask, meta]
+                        size += len(main) + len(ask) + len(meta)
+                        if size >= FILE_BYTES:
+                            yield flush()
         if held:
             yield flush()
 
-    both.select("id", "sha1", "url", "payload", "original", "part").mapInArrow(run, "records long, bytes long").agg(F.sum("records")).collect()
+    rows.mapInArrow(run, "records long, bytes long").agg(F.sum("records")).collect()
     return folder
 
 
