@@ -315,7 +315,8 @@ def test_scores_are_those_of_the_plain_model(monkeypatch):
     assert got == pytest.approx(want, rel=1e-5)
     alone = [model.score([t])[0][0] for t in texts]
     assert alone == pytest.approx(got.tolist(), rel=1e-9)
-    monkeypatch.setattr(mixing, "PIECE", 100)  # a multiple of TURN; long texts are then coded in pieces
+    monkeypatch.setattr(mixing, "GROUP", 100)  # a multiple of TURN; long texts are then coded in pieces
+    monkeypatch.setattr(mixing, "PIECE", 30)
     assert model.score(texts)[0] == pytest.approx(got, rel=1e-9)
 
 
