@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which the small side of a join is broadcast; beyond it the join is salted.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes up to which the small side of a join is broadcast; beyond them the join is salted.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 #: Copies of the small side of a salted join, and rows of a key from which ``weighed_join`` salts it.
 SALTS, HOT = 32, 1000
 #: ASCII white space, as Java, RE2 and Python regular expressions read it.
@@ -44,16 +44,30 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, about."""
+    out = F.lit(8 * len(df.columns)).cast("long")
+    for f in df.schema:
+        kind, c = f.dataType.typeName(), F.col(f"`{f.name}`")
+        if kind in ("string", "binary"):
+            out = out + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind in ("array", "map"):
+            out = out + 16 * F.coalesce(F.size(c), F.lit(0))
+    return out
+
+
 def sized_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", rows: int | None = None) -> DataFrame:
-    """Equi-join that no hot key slows down: ``small`` is broadcast if it has BROADCAST_ROWS rows at most (``rows``, or else
-    counted); beyond that, ``small`` is repeated for each of SALTS salts and the rows of ``big`` are dealt over them.
+    """Equi-join that no hot key slows down: ``small`` is broadcast if it has BROADCAST_ROWS rows and BROADCAST_BYTES bytes at most (both
+    counted; who gives ``rows`` vouches for columns of fixed width); beyond that, ``small`` is repeated for each of SALTS salts and the rows of ``big`` are dealt over them.
 
     ``how`` is inner, left, left_semi or left_anti. Null keys match nothing. The salt is a hash of the whole row, so that a task that
     runs again deals its rows out as before.
     """
     if rows is None:
-        rows = small.limit(BROADCAST_ROWS + 1).count()
-    if rows <= BROADCAST_ROWS:
+        rows, size = small.agg(F.count(F.lit(1)), F.sum(_width(small))).first()
+    else:
+        size = 0
+    if rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES:
         return big.join(F.broadcast(small), keys, how)
     salted = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = big.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(SALTS)).cast("int"))

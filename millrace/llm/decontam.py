@@ -200,6 +200,8 @@ def _clusters(docs: DataFrame, id_col: str, text_col: str, masks: list[str], kno
     kind, shared = docs.schema[id_col].dataType.simpleString(), docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not masks:  # no item has a token
+            return
         tokens, (bits, few) = Tokens(), shared.value
         slot = np.uint64(len(bits) - 1)
         for b in batches:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, wrapped
+from .common import SPACE, cut, weighed_join, wrapped
 
 SALTS = 64
 
@@ -41,11 +41,13 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id, keep_id, group_size, kept, text_sha256.
 
-    The winners are found by full content; rows look theirs up by SHA-256 and a second, independent 64-bit hash of the text.
+    The winners are found by full content; rows look theirs up by SHA-256 and a second, independent 64-bit hash of the text, those of
+    a text with many copies without leaving their task.
     """
     norm = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
     rows = norm.select("id", F.sha2("norm", 256).alias("sha"), F.xxhash64("norm").alias("check")).groupBy("id", "sha", "check").agg(F.count(F.lit(1)).alias("times"))
-    found = rows.join(groups(docs, id_col, text_col).drop("norm"), ["sha", "check"])
+    winners = cut(groups(docs, id_col, text_col).drop("norm"), "winners")
+    found = weighed_join(cut(rows, "rows"), winners.withColumn("rows", F.col("group_size")), ["sha", "check"], "rows")
     each = found.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     return each.select(F.col("id").alias(id_col), "keep_id", "group_size", (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"), F.col("sha").alias("text_sha256"))
 

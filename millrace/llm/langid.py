@@ -6,8 +6,8 @@ A text's score for a language is the sum over its words; the language with the h
 is its share after a softmax of the sums over the square root of the number of words.
 
 The classifier is fit on a bounded sample of the labelled rows: ``FIT_ROWS`` rows of each language in expectation, picked by a
-hash of the id, and keeps the ``WORDS`` most frequent words of each language and the ``GRAMS`` most frequent n-grams of each
-language and length. That bounds the model that is broadcast; prediction reads every text whole.
+hash of the id. It keeps every word and n-gram of those rows, so the model that is collected and broadcast is bounded by their texts;
+prediction reads every text whole.
 
 Defined results: a text that is null, empty or without a letter is ``und`` with score 0, and so is every text if there is no
 labelled row to learn from; ties go to the language that sorts first; rows are predicted one by one, so repeated rows agree.
@@ -26,9 +26,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-FIT_ROWS, WORDS, GRAMS, LONGEST = 10_000, 20_000, 8_000, 5
+FIT_ROWS, LONGEST = 2_000, 5
 #: Unseen words whose scores a task remembers.
 REMEMBER = 50_000
 UNDECIDED = "und"
@@ -97,9 +96,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         grams = words.select("lang", "n", marked.alias("m"), F.explode(starts).alias("i")).select("lang", "n", F.lit(size).alias("size"), F.substring(F.col("m"), F.col("i"), F.lit(size)).alias("unit"))
         units = units.union(grams)
     counts = units.groupBy("lang", "size", "unit").agg(F.sum("n").alias("n"))
-    ranked = counts.withColumn("rank", F.row_number().over(W.partitionBy("lang", "size").orderBy(F.desc("n"), "unit")))
-    # WORDS + LONGEST * GRAMS rows a language at most.
-    top = ranked.where(F.col("rank") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS)).select("size", "unit", "lang", "n").toArrow()
+    top = counts.select("size", "unit", "lang", "n").toArrow()  # what FIT_ROWS texts of each language hold
     size, unit, lang = (top[c].combine_chunks() for c in ("size", "unit", "lang"))
     place = pc.index_in(lang, pa.array(langs)).to_numpy()
 

@@ -174,23 +174,32 @@ class Pieces:
             out.append((b"".join(map(self.best.__getitem__, numbers.tolist())), [(total - less, changes) for less, changes in options], numbers))
         return out
 
-    def nbest(self, text: str | None) -> list[tuple[float, list[int]]]:
-        """The N best segmentations of a whole text: score and ids."""
-        _, options, numbers = self.encode([text])[0]
+    def whole(self, found: tuple) -> list[bytes]:
+        """The ids (int32 bytes) of each of a text's segmentations that ``encode`` found, best first."""
+        best, options, numbers = found
         out = []
-        for score, changes in options:
-            ids = list(map(self.best.__getitem__, numbers.tolist()))
-            for k, o in changes:
-                ids[k] = self.others(numbers[k])[o][1]
-            out.append((score, np.frombuffer(b"".join(ids), np.int32).tolist()))
+        for _, changes in options:
+            if changes:
+                ids = list(map(self.best.__getitem__, numbers.tolist()))
+                for k, o in changes:
+                    ids[k] = self.others(numbers[k])[o][1]
+                out.append(b"".join(ids))
+            else:
+                out.append(best)
         return out
 
+    def nbest(self, text: str | None) -> list[tuple[float, list[int]]]:
+        """The N best segmentations of a whole text: score and ids."""
+        found = self.encode([text])[0]
+        return [(s, np.frombuffer(ids, np.int32).tolist()) for (s, _), ids in zip(found[1], self.whole(found), strict=True)]
+
     def decode(self, ids) -> str:
         return b"".join(map(self.surface.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
 def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_pieces, ids (of the best segmentation), scores (of the n best, best first), round_trip (decoding gives the text)."""
+    """id, n_pieces, ids (of the best segmentation), scores (of the n best, best first), round_trip (decoding gives the text), others (the
+    ids of the n best after the first)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     held = docs.sparkSession.sparkContext.broadcast({})  # in each Python worker, it keeps the model from task to task
@@ -208,9 +217,13 @@ def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text
                 same = [pieces.decode(i.tolist()) == (t or "") for i, t in zip(ids, texts, strict=True)]
                 ends = np.cumsum([0, *map(len, ids)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(ends), pa.int64()), lists, pa.array(scores, pa.list_(pa.float64())), pa.array(same)], [id_col, "n_pieces", "ids", "scores", "round_trip"])
+                rest = [pieces.whole(f)[1:] for f in found]
+                flat = [np.frombuffer(x, np.int32) for r in rest for x in r]
+                inner = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, flat)]), pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)))
+                others = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rest)]), pa.int32()), inner)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(ends), pa.int64()), lists, pa.array(scores, pa.list_(pa.float64())), pa.array(same), others], [id_col, "n_pieces", "ids", "scores", "round_trip", "others"])
 
-    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").alias("__text")).mapInArrow(run, f"`{id_col}` {kind}, n_pieces long, ids array<int>, scores array<double>, round_trip boolean")
+    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").alias("__text")).mapInArrow(run, f"`{id_col}` {kind}, n_pieces long, ids array<int>, scores array<double>, round_trip boolean, others array<array<int>>")
 
 
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

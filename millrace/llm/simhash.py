@@ -1,7 +1,7 @@
 """Operator 7, SimHash near-dedup by multi-index hashing.
 
 A document's fingerprint is the bitwise majority of the XXH64 hashes of its word shingles. Two fingerprints link when they differ
-in ``distance`` bits at most. To find the links, a fingerprint is cut into ``segments`` parts. Two that link agree up to
+in ``distance`` bits at most. To find the links, a fingerprint is cut into ``segments`` parts (as many as suit the number of fingerprints). Two that link agree up to
 ``distance // segments`` bits in one part at least (pigeonhole), so each fingerprint enumerates the Hamming ball of that radius in
 each of its parts, fetches the fingerprints that have such a part from a table keyed by (part, value), and the complete distance
 is verified inside that join. A pair is taken from the first part in which it agrees, so it comes once.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, sized_join, wrapped
+from .common import components, cut, sized_join, weighed_join, wrapped
 from .decontam import Tokens, binary_column, mixed, slices
 
 SEED = 42
-SEGMENTS = 3
+#: Probes that a task makes out of fingerprints.
+PROBES = 1 << 20
 #: Of near_texts: bands of minimum hashes and hashes in a band, differing bits of shingle fingerprints that propose a pair, members
 #: compared at once.
 BANDS, BAND_ROWS, CLOSE_BITS, BLOCK = 32, 6, 4, 2048
@@ -75,8 +77,21 @@ def _part(fp: Column, low: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
 
-def links(fps: DataFrame, distance: int, segments: int = SEGMENTS) -> DataFrame:
+def segments_for(n: int, distance: int) -> int:
+    """The number of segments that lets ``n`` fingerprints do the fewest probes and comparisons: few segments are wide, so their
+    balls are large and their buckets small."""
+
+    def work(segments: int) -> float:
+        probes = sum(comb(w, r) for _, w in _cuts(segments) for r in range(distance // segments + 1))
+        return n * probes * (1 + n / 2 ** (64 // segments))
+
+    return min(range(2, max(2, min(distance + 1, 8)) + 1), key=work)
+
+
+def links(fps: DataFrame, distance: int, segments: int | None = None) -> DataFrame:
     """Pairs a < b of the distinct fingerprints in column fp that differ in ``distance`` bits at most, each pair once."""
+    n = fps.count()
+    segments = segments or segments_for(n, distance)
     radius, places = distance // segments, _cuts(segments)
     table, probes = [], []
     for s, (low, width) in enumerate(places):
@@ -84,6 +99,8 @@ def links(fps: DataFrame, distance: int, segments: int = SEGMENTS) -> DataFrame:
         table.append(F.struct(F.lit(s).alias("s"), _part(F.col("fp"), low, width).alias("v")))
         here = _part(F.col("fp"), low, width)
         probes += [F.struct(F.lit(s).alias("s"), here.bitwiseXOR(F.lit(m).cast("long")).alias("v")) for m in masks]
+    # A few small rows become many: they are dealt out first, by the probes that they make.
+    fps = fps.repartition(1 + n * len(probes) // PROBES, "fp")
     have = fps.select(F.col("fp").alias("b"), F.explode(F.array(*table)).alias("k")).select("b", "k.s", "k.v")
     ask = fps.select(F.col("fp").alias("a"), F.explode(F.array(*probes)).alias("k")).select("a", "k.s", "k.v")
     differ = F.col("a").bitwiseXOR(F.col("b"))
@@ -97,12 +114,12 @@ def links(fps: DataFrame, distance: int, segments: int = SEGMENTS) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, distance: int = 4) -> DataFrame:
     """One row for each row of ``docs``: id, fp, component_id (the smallest id that can be reached over links, itself included)."""
     rows = cut(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    distinct = rows.groupBy("fp").agg(F.min("id").alias("least"))
+    distinct = cut(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")), "distinct")
     roots = components(links(distinct.select("fp"), distance)).select(F.col("node").alias("fp"), "root")
-    linked = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    linked = cut(linked, "roots")
-    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    linked = cut(distinct.join(roots, "fp", "left").select("fp", "least", "rows", F.coalesce("root", "fp").alias("root")), "roots")
+    names = cut(linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("prints")), "names")
+    named = cut(weighed_join(linked, names, ["root"], "prints").select("fp", "component_id", "rows"), "named")
+    return weighed_join(rows, named, ["fp"], "rows").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 class Sketcher:
@@ -287,9 +304,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """The rows of ``docs`` without near copies: of each component, one row with the smallest id stays, with all its columns. A null
     id comes after all others, so a component without any other keeps a row of a null id. Of rows that repeat the id and the text,
     one stays; which, is not said."""
-    rows = _grouped(docs, id_col, text_col, words, similarity).groupBy("root", "id", "key").agg(F.count(F.lit(1)).alias("n"))
-    best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key", "n")).alias("best"))
-    best = cut(best.select(F.col("best.id").alias("keep_id"), F.col("best.key").alias("keep_key"), F.col("best.n").alias("n")), "kept")
+    rows = _grouped(docs, id_col, text_col, words, similarity)
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("best")).select(F.col("best.id").alias("keep_id"), F.col("best.key").alias("keep_key"))
+    twice = cut(rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "twice")
+    best = best.join(twice, (F.col("key") == F.col("keep_key")) & F.col("id").eqNullSafe(F.col("keep_id")), "left")
+    best = cut(best.select("keep_id", "keep_key", F.coalesce("n", F.lit(1)).alias("n")), "kept")
     rows = docs.select(wrapped(docs).alias("row"), F.col(f"`{id_col}`").alias("id"), _text_key(text_col).alias("key"))
     met = (F.col("key") == F.col("keep_key")) & F.col("id").eqNullSafe(F.col("keep_id"))
     once = rows.join(best.where("n = 1"), met, "left_semi").select("row")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, sized_join
 
-LEAST, Z, SMOOTH, REJECT, DEPTH = 5, 1.96, 2.0, 0.8, 6
+LEAST, Z, SMOOTH, REJECT, DEPTH = 5, 1.96, 2.0, 0.8, 32
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:

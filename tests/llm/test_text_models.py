@@ -121,6 +121,12 @@ def test_encoded_rows_decode_to_their_texts(spark):
     rows = coded.collect()
     assert all(r.round_trip for r in rows) and len(rows) == docs.count()
     assert all(r.n_pieces == len(r.ids) and r.scores == sorted(r.scores, reverse=True) and 1 <= len(r.scores) <= 3 for r in rows)
+    local = pieces.Pieces(PIECES, 3)
+    for r in rows:
+        assert len(r.others) == len(r.scores) - 1 and len({tuple(x) for x in [r.ids, *r.others]}) == len(r.scores)
+        text = {i: t for i, t, _ in data.texts()}.get(r.doc_id) or ""
+        if r.doc_id not in (None, 70) and len(text) < 5000:
+            assert [ids for _, ids in local.nbest(text)] == [list(x) for x in (r.ids, *r.others)] and {local.decode(x) for x in r.others} <= {text}
     back = pieces.decode(coded.where("doc_id is not null and doc_id <> 70"), PIECES).collect()
     want = {i: t or "" for i, t, _ in data.texts()}
     assert all(r.text == want[r.doc_id] for r in back)
