@@ -3,6 +3,9 @@
 Each stage takes the session, the rows that its predecessor kept and the folder of the tables, and returns a DataFrame that is
 written and read again as the next one's input. All but the last keep the columns of documents. Each stage is decided on its own
 input alone: the classifier of the first learns from its labelled rows, and the fourth reads the table ``benchmark``.
+
+Defined results: an empty table gives no rows; columns besides doc_id, text and lang are carried along untouched, whatever their
+names; rows that repeat are copies of each other, so one of them stays.
 """
 
 from __future__ import annotations
@@ -18,27 +21,27 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, or whose language cannot be told, go."""
+    """Texts without a letter go, and those whose language is told with a score under 0.3. A null or empty text has no letter."""
     return langid.keep_identified(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the smallest doc_id stays."""
+    """Of equal texts, the row with the smallest doc_id stays; a null id comes after all others."""
     return exact_dedup.deduplicate(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the row with the smallest doc_id stays."""
+    """Of each group of near copies, one row with the smallest doc_id stays; a null id comes after all others. Wordless texts are one group."""
     return simhash.keep_one(docs, words=SHINGLE_WORDS, similarity=SIMILARITY)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that hold a benchmark item go."""
+    """Texts that hold a benchmark item go; each row is judged by its own text, whatever its id."""
     return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of the best segmentation, scores of the best three, and whether decoding gives the text."""
+    """Ids and scores of the best three segmentations, and whether decoding gives the text."""
     return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
