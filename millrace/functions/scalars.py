@@ -85,9 +85,8 @@ def first_weekday(c: Column, day: str) -> Column:
 
 def off_days(c: Column, closed: list[str], step: int = 1) -> Column:
     """The date, moved by ``step`` days while it is one of the closed days ("MM-dd"), at most once for each of them."""
-    for _ in closed:
-        c = F.when(F.date_format(c, "MM-dd").isin(closed), F.date_add(c, step)).otherwise(c)
-    return c
+    first = F.get(F.filter(F.sequence(F.lit(0), F.lit(len(closed))), lambda i: ~F.date_format(F.date_add(c, i * step), "MM-dd").isin(closed)), 0)
+    return F.date_add(c, F.coalesce(first, F.lit(len(closed))) * step)
 
 
 def business_day(c: Column) -> Column:
@@ -113,3 +112,31 @@ def plain_text(html: Column) -> Column:
 def labelled(c: Column, labels: list[str], until: str = r"[^\n;]") -> Column:
     """The value after the first of the labels that has one, up to a line's end or a semicolon."""
     return F.coalesce(*[F.nullif(strip(F.regexp_extract(c, rf"(?i)\b{label}\s*:\s*({until}+)", 1)), F.lit("")) for label in labels])
+
+
+def cleaned_name(c: Column) -> Column:
+    """Runs of white space as one space, without quotes around it or punctuation after it."""
+    text = F.btrim(strip(F.regexp_replace(c, r"(?U)\s+", " ")), F.lit("\"'"))
+    return F.rtrim(text, F.lit(" ,.;:"))
+
+
+def body_words(c: Column, leading: list[str], trailing: list[str]) -> Column:
+    """The words (upper case) without a number in front, then without leading and trailing words of the lists; one word always stays."""
+    words = F.filter(F.split(F.upper(c), r"(?U)\s+"), lambda w: w != "")
+    words = F.when((F.size(words) > 1) & F.get(words, 0).rlike(r"^\d+[A-Z]?$"), F.slice(words, 2, F.size(words))).otherwise(words)
+    for _ in range(2):
+        words = F.when((F.size(words) > 1) & F.get(words, 0).isin(leading), F.slice(words, 2, F.greatest(F.size(words), F.lit(1)))).otherwise(words)
+        words = F.when((F.size(words) > 1) & F.element_at(words, -1).isin(trailing), F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1)))).otherwise(words)
+    return words
+
+
+def listed(c: Column, code: str) -> Column:
+    """Whether a list of codes between commas or semicolons has the code, whatever the case."""
+    codes = F.transform(F.split(F.upper(F.coalesce(c, F.lit(""))), "[,;]"), lambda x: F.trim(x))
+    return F.array_contains(codes, code.upper())
+
+
+def found(c: Column, patterns: dict[str, str]) -> Column:
+    """An array of struct<kind, value>: the first group of each pattern that is found, in order."""
+    hits = [F.when(c.rlike(p), F.struct(F.lit(k).alias("kind"), F.regexp_extract(c, p, 1).alias("value"))) for k, p in patterns.items()]
+    return F.array_compact(F.array(*hits))

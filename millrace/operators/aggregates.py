@@ -55,3 +55,23 @@ def header(df: DataFrame, values: list[str]) -> DataFrame:
     """Histograms of several columns in one pass over the rows: column, value, n."""
     stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in values]))
     return df.select(stacked.alias("x")).groupBy("x.column", "x.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def union_arrays(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """The sorted distinct elements of all arrays of a group. Elements are combined before the shuffle; a group without any has an empty array."""
+    return df.select(*keys, F.explode_outer(column).alias("__x")).groupBy(*keys).agg(F.array_sort(F.collect_set("__x")).alias(column))
+
+
+def holders(df: DataFrame, name: Column, key: str, least: int, sentinels: list[str]) -> DataFrame:
+    """Names (upper case, trimmed) with ``least`` or more distinct keys, and the keys in order. Blank names and those with a sentinel word go."""
+    named = df.select(F.upper(F.trim(name)).alias("name"), key).where("name <> ''")
+    words = F.split("name", r"\s+")
+    kept = named.where(~F.arrays_overlap(words, F.array(*[F.lit(s.upper()) for s in sentinels]))) if sentinels else named
+    return kept.groupBy("name").agg(F.array_sort(F.collect_set(key)).alias("keys")).where(F.size("keys") >= least)
+
+
+def metrics(df: DataFrame, shares: dict[str, Column], averages: dict[str, Column]) -> DataFrame:
+    """metric and value, from one pass: the share of rows that meet a condition (null does not), and averages over the rows that have a value."""
+    found = df.agg(*[F.avg(F.when(F.coalesce(c, F.lit(False)), 1.0).otherwise(0.0)).alias(f"m{i}") for i, c in enumerate(shares.values())], *[F.avg(c).alias(f"a{i}") for i, c in enumerate(averages.values())])
+    names = [(n, f"m{i}") for i, n in enumerate(shares)] + [(n, f"a{i}") for i, n in enumerate(averages)]
+    return found.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("value")) for n, c in names])).alias("x")).select("x.*")

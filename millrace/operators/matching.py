@@ -15,23 +15,23 @@ def enrich(rows: DataFrame, dimension: DataFrame, key: str, dimension_key: str)
     return out.withColumn("enriched", F.coalesce("enriched", F.lit(False)))
 
 
-def tiered_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, int, list[str]]], verify: Column | None = None, ambiguous: int = 0) -> DataFrame:
+def tiered_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, int, list[str]]], verify: Column | None = None, ambiguous: dict[str, int] | None = None) -> DataFrame:
     """One row for each left id: tier, confidence, candidates, match_id (smallest of the best tier's), ambiguous.
 
     Each tier is an equi-join on its columns (which both sides have); the first tier in which a left row finds anything decides.
     Left rows without any candidate have tier null and confidence 0. ``verify`` may look at columns of both sides as ``l`` and ``r``.
-    A row with several candidates gets the confidence ``ambiguous`` if that is not 0. Null columns match nothing.
+    A row with several candidates gets the confidence that ``ambiguous`` has for its tier, if any. Null columns match nothing.
     """
     found = []
     for place, (name, confidence, columns) in enumerate(tiers):
         same = reduce(lambda x, y: x & y, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in columns])
         hit = left.alias("l").join(right.alias("r"), same if verify is None else same & verify)
         counted = hit.groupBy(F.col(f"l.{left_id}").alias(left_id)).agg(F.count_distinct(f"r.{right_id}").alias("candidates"), F.min(f"r.{right_id}").alias("match_id"))
-        found.append(counted.select(left_id, F.struct(F.lit(place).alias("place"), F.lit(name).alias("tier"), F.lit(confidence).alias("confidence"), "candidates", "match_id").alias("hit")))
+        found.append(counted.select(left_id, F.struct(F.lit(place).alias("place"), F.lit(name).alias("tier"), F.lit(confidence).alias("confidence"), F.lit((ambiguous or {}).get(name, confidence)).alias("shared"), "candidates", "match_id").alias("hit")))
     best = reduce(DataFrame.union, found).groupBy(left_id).agg(F.min("hit").alias("hit"))
     out = left.select(left_id).join(best, left_id, "left")
     many = F.coalesce(F.col("hit.candidates") > 1, F.lit(False))
-    confidence = F.when(many & F.lit(bool(ambiguous)), F.lit(ambiguous)).otherwise(F.coalesce("hit.confidence", F.lit(0)))
+    confidence = F.when(many, F.col("hit.shared")).otherwise(F.coalesce("hit.confidence", F.lit(0)))
     return out.select(left_id, F.col("hit.tier").alias("tier"), confidence.alias("confidence"), F.coalesce("hit.candidates", F.lit(0)).alias("candidates"), "hit.match_id", many.alias("ambiguous"))
 
 
@@ -45,18 +45,23 @@ def ordered_contains(names: DataFrame, name: str, asked: DataFrame, asked_id: st
     """Pairs of rows whose ``name`` has the asked parts in order, without overlap (LIKE '%a%b%').
 
     A hit has every n-gram of every part, so the pairs come from an equi-join on one n-gram of the asked row: the one that the
-    fewest names have. Parts shorter than an n-gram are verified only; an asked row without any n-gram has no hit.
+    fewest names have. An asked row whose parts are all shorter goes by its rarest character, and one whose parts are all empty
+    is looked for in every name that is not null. A null part has no hit.
     """
-    grams = names.select(F.explode(F.array_distinct(_grams(F.col(name), gram))).alias("gram"))
+    def posted(c: Column) -> Column:
+        return F.array_union(F.array_union(_grams(c, gram), _grams(c, 1)), F.array(F.lit("")))
+
+    lists = [F.flatten(F.array(*[_grams(F.col(p), n) for p in parts])) for n in (gram, 1)]
+    best = F.when(F.size(lists[0]) > 0, lists[0]).when(F.size(lists[1]) > 0, lists[1]).otherwise(F.array(F.lit("")))
+    wanted = asked.select(asked_id, F.explode(F.array_distinct(best)).alias("gram"))
+    grams = names.select(F.explode(posted(F.col(name))).alias("gram")).join(wanted.select("gram").distinct(), "gram", "left_semi")
     frequency = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
-    wanted = asked.select(asked_id, F.explode(F.array_distinct(F.flatten(F.array(*[_grams(F.col(p), gram) for p in parts])))).alias("gram"))
     # A gram that no name has is the rarest of all, and rightly finds nothing.
     rarest = wanted.join(frequency, "gram", "left").groupBy(asked_id).agg(F.min_by("gram", F.struct(F.coalesce("names", F.lit(0)), "gram")).alias("gram"))
     quoted = [F.regexp_replace(F.col(p), r"([\\%_])", r"\\$1") for p in parts]
     pattern = F.concat(F.lit("%"), F.concat_ws("%", *quoted), F.lit("%"))
     probes = asked.withColumn("__pattern", pattern).join(rarest, asked_id)
-    posted = names.withColumn("gram", F.explode(_grams(F.col(name), gram)))
-    return posted.join(probes, "gram").where(F.like(F.col(name), F.col("__pattern"))).drop("gram", "__pattern")
+    return names.withColumn("gram", F.explode(posted(F.col(name)))).join(probes, "gram").where(F.like(F.col(name), F.col("__pattern"))).drop("gram", "__pattern")
 
 
 def resolve(hits: DataFrame, key: str, place: str, match: str, most: int = 5) -> DataFrame:
@@ -73,7 +78,7 @@ def resolve(hits: DataFrame, key: str, place: str, match: str, most: int = 5) ->
 
 def unique_lookup(rows: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
     """``rows`` with ``value`` from the table where the key has exactly one; else null."""
-    one = table.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias(value)).where("n = 1").drop("n")
+    one = table.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), F.min(value).alias(value)).where("__rows = 1").drop("__rows")
     return rows.join(one, key, "left")
 
 
@@ -95,3 +100,35 @@ def missing_references(rows: DataFrame, column: str, table: DataFrame, key: str)
     """Distinct referenced values that the table does not have. Null refers to nothing."""
     asked = rows.select(F.col(column).alias("missing")).where("missing is not null").distinct()
     return asked.join(table.select(F.col(key).alias("missing")), "missing", "left_anti")
+
+
+def missing_elements(rows: DataFrame, id_col: str, column: str, table: DataFrame, key: str) -> DataFrame:
+    """id and missing: each element of an array column that the table does not have, once for each row. Null elements refer to nothing."""
+    asked = rows.select(id_col, F.explode(F.array_distinct(column)).alias("missing")).where("missing is not null")
+    return asked.join(table.select(F.col(key).alias("missing")), "missing", "left_anti").select(id_col, "missing")
+
+
+def key_overlap(a: DataFrame, b: DataFrame, key: Column) -> DataFrame:
+    """How many distinct keys only the left has, both have, only the right has: side, n. The key is an expression over either side; null is none."""
+    marked = a.select(key.alias("k"), F.lit(1).alias("side")).unionByName(b.select(key.alias("k"), F.lit(2).alias("side"))).where("k is not null")
+    seen = marked.groupBy("k").agg(F.bit_or("side").alias("sides"))
+    name = F.when(F.col("sides") == 1, "left").when(F.col("sides") == 2, "right").otherwise("both")
+    return seen.groupBy(name.alias("side")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def unseen(rows: DataFrame, seen: DataFrame, key: str, seen_key: str) -> DataFrame:
+    """The rows whose key has not been seen; a null key never was."""
+    return rows.join(seen.select(F.col(seen_key).alias("__seen")).distinct(), F.col(key) == F.col("__seen"), "left_anti")
+
+
+def policy(rows: DataFrame, resolved: DataFrame, key: str, eligible: Column) -> DataFrame:
+    """``rows`` with decision (confirmed, possible or rejected) and match, from ``resolve``: a definitive match is confirmed if the row is eligible and else possible,
+    an ambiguous one is possible, and no match is rejected."""
+    out = rows.join(resolved.select(key, "status", "match"), key, "left")
+    decision = F.when(F.col("status").isNull(), "rejected").when((F.col("status") == "definitive") & F.coalesce(eligible, F.lit(False)), "confirmed").otherwise("possible")
+    return out.withColumn("decision", decision).drop("status")
+
+
+def with_detail(rows: DataFrame, detail: DataFrame, key: str, noise: Column) -> DataFrame:
+    """Left join to one detail row by key, without the rows that the detail marks as noise."""
+    return rows.join(detail, key, "left").where(~F.coalesce(noise, F.lit(False)))

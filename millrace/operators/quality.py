@@ -46,3 +46,24 @@ def difference(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def offenders(df: DataFrame, key: str, checks: dict[str, Column]) -> DataFrame:
+    """check and key of each row that a check's condition marks; a row with several marks has a row for each."""
+    marks = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in checks.items()]))
+    return df.select(F.explode(marks).alias("check"), key)
+
+
+def action(gated: DataFrame, override: str | None = None) -> DataFrame:
+    """One row: verdict (see ``verdict``), action (the operator's ``override``, if there is one, else the verdict) and the names of the failed checks in order."""
+    failed = F.array_sort(F.collect_list(F.when(F.col("outcome").isin("INVALID", "AMBIGUOUS"), F.col("check"))))
+    out = gated.agg(F.max(F.when(F.col("outcome") == "INVALID", 2).when(F.col("outcome") == "AMBIGUOUS", 1).otherwise(0)).alias("worst"), failed.alias("failed"))
+    name = F.when(F.col("worst") == 2, "blocked").when(F.col("worst") == 1, "review").otherwise("ok")
+    return out.select(name.alias("verdict"), (F.lit(override) if override else name).alias("action"), "failed")
+
+
+def unique(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df``, or ContractError if a key is there twice."""
+    if twice := duplicate_keys(df, keys).limit(5).collect():
+        raise ContractError("repeated keys, such as " + ", ".join(str(tuple(r[k] for k in keys)) for r in twice))
+    return df

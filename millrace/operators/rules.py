@@ -59,3 +59,52 @@ def ordered_paths(rules: list[tuple[str, Column, bool]]) -> Column:
 def repeated(items: Column, count: str, value: str) -> Column:
     """Of an array of structs, each one's ``value`` as often as its ``count`` says."""
     return F.flatten(F.transform(items, lambda s: F.array_repeat(s[value], s[count].cast("int"))))
+
+
+def allowed(c: Column, values: list[str], policy: str) -> Column:
+    """struct<keep, flag> of a value against a list, upper case and trimmed: ``drop`` keeps listed values only, ``flag`` and ``warn`` keep all and name the others.
+    Blank values and an empty list keep."""
+    text = F.upper(F.trim(F.coalesce(c, F.lit(""))))
+    known = (text == "") | text.isin([v.upper() for v in values]) if values else F.lit(True)
+    flag = F.when(~known & F.lit(policy != "drop"), F.lit(policy))
+    return F.struct((known | F.lit(policy != "drop")).alias("keep"), flag.alias("flag"))
+
+
+def has_fragment(c: Column, fragments: list[str]) -> Column:
+    """Whether the text has any of the fragments, whatever the case."""
+    out = F.lit(False)
+    for f in fragments:
+        out = out | F.contains(F.upper(c), F.lit(f.upper()))
+    return F.coalesce(out, F.lit(False))
+
+
+def any_present(*cs: Column) -> Column:
+    out = F.lit(False)
+    for c in cs:
+        out = out | F.coalesce(F.trim(c) != "", F.lit(False))
+    return out
+
+
+def fan_out(broad: dict[str, list[str]], explicit: dict[str, object], values: dict[str, object], override: dict[str, object] | None = None) -> dict[str, object]:
+    """A rule table in which each alias of a broad key has that key's value, explicit rows win over those, and a run's own rows over all."""
+    return {a: values[k] for k, aliases in broad.items() for a in aliases if k in values} | explicit | (override or {})
+
+
+def review(seeds: Column, rules: dict[str, Column]) -> Column:
+    """struct<reasons, status>: the seeds and the names of the conditions that hold, in order and each once; status is ``review`` if there is any, else ``clear``."""
+    found = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]))
+    reasons = F.array_distinct(F.concat(F.coalesce(seeds, F.array().cast("array<string>")), found))
+    return F.struct(reasons.alias("reasons"), F.when(F.size(reasons) > 0, "review").otherwise("clear").alias("status"))
+
+
+def fuzzy_label(c: Column, labels: list[str], least: float = 0.9, opposites: tuple[str, ...] = ()) -> Column:
+    """The label most like the text by edit distance, if 1 - distance / length reaches ``least``; of equals, the first. A text and a label
+    of which only one has a word out of ``opposites`` are never alike."""
+    scored = []
+    for i, label in enumerate(labels):
+        like = 1 - F.levenshtein(c, F.lit(label)) / F.greatest(F.length(c), F.lit(len(label)))
+        for word in opposites:
+            like = F.when(F.contains(c, F.lit(word)) == F.lit(word in label), like).otherwise(-1.0)
+        scored.append(F.struct(like.alias("like"), F.lit(-i).alias("place"), F.lit(label).alias("label")))
+    best = F.greatest(*scored) if len(scored) > 1 else scored[0]
+    return F.when(best["like"] >= least, best["label"])

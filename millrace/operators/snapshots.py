@@ -85,3 +85,36 @@ def best_per_key(df: DataFrame, key: str, score: str, tie: str) -> DataFrame:
 def ranked(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """``df`` with each row's place within its key."""
     return df.withColumn("place", F.row_number().over(W.partitionBy(key).orderBy(*order)))
+
+
+def dated_diff(old: DataFrame, new: DataFrame, keys: list[str], compare: list[str], run_date: Column, labels: tuple[str, str, str, str] = ("NEW_RECORD", "SAME", "UPDATED", "DISAPPEARED")) -> DataFrame:
+    """``diff`` of a snapshot that knows first_seen and last_seen with a new one that does not: rows that are there keep their first_seen and are last seen
+    on the run's date; rows that are gone keep both."""
+    rows = diff(old.drop("first_seen", "last_seen"), new, keys, compare, labels)
+    seen = old.select(*keys, "first_seen", "last_seen")
+    out = rows.join(seen, keys, "left")
+    return out.withColumns({"first_seen": F.coalesce("first_seen", run_date), "last_seen": F.when(F.col("change_status") == labels[3], F.col("last_seen")).otherwise(run_date)})
+
+
+def rebuilt(batch: DataFrame, key: str, value: str, run_date: Column) -> DataFrame:
+    """State made anew from one batch, which must have each key once (``quality.unique`` tells)."""
+    kind = batch.schema[value].dataType
+    return batch.select(key, run_date.alias("first_seen"), run_date.alias("last_seen"), F.col(value).alias("current"), F.lit(None).cast(kind).alias("previous"), F.lit(None).cast(kind).alias("delta"))
+
+
+def since(state: DataFrame, day: Column) -> DataFrame:
+    return state.where(F.col("first_seen") >= day)
+
+
+def run_change(previous: DataFrame, current: DataFrame, key: str, value: str) -> DataFrame:
+    """key, previous, current and change ((current - previous) / previous; null without a previous value or if that is 0)."""
+    both = previous.select(key, F.col(value).alias("previous")).join(current.select(key, F.col(value).alias("current")), key, "full_outer")
+    return both.withColumn("change", (F.col("current") - F.col("previous")) / F.nullif(F.col("previous"), F.lit(0)))
+
+
+def lifecycle(events: DataFrame, key: str, ts: str, opens: Column, closes: Column, as_of: Column, days: int) -> DataFrame:
+    """key, opened, closed (latest of either kind) and state: ``closed`` if something closed it after it opened, ``conflict`` if both came at once,
+    ``expired`` if it opened over ``days`` days ago, else ``open``. Keys that never opened have no row."""
+    last = events.groupBy(key).agg(F.max(F.when(opens, F.col(ts))).alias("opened"), F.max(F.when(closes, F.col(ts))).alias("closed")).where("opened is not null")
+    state = F.when(F.col("closed") > F.col("opened"), "closed").when(F.col("closed") == F.col("opened"), "conflict").when(F.date_diff(as_of, F.to_date("opened")) > days, "expired").otherwise("open")
+    return last.withColumn("state", state)

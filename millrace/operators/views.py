@@ -45,3 +45,14 @@ def flat(df: DataFrame, between: str = "|") -> DataFrame:
 def aged(df: DataFrame, first_seen: str, as_of: Column) -> DataFrame:
     """``df`` with is_new (first seen on the day) and days_known."""
     return df.withColumns({"is_new": F.to_date(first_seen) == as_of, "days_known": F.date_diff(as_of, F.to_date(first_seen))})
+
+
+def canned(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """``df`` once for each of the named views whose condition holds, with column ``view``."""
+    names = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in conditions.items()]))
+    return df.withColumn("view", F.explode(names))
+
+
+def as_json(df: DataFrame) -> Column:
+    """A row as JSON with its columns in the order of their names, nulls included, so equal rows give equal bytes."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"})

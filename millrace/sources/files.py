@@ -82,11 +82,38 @@ def blocks_of(df: DataFrame, text: str, heading: str, least: int = 1) -> DataFra
     return exploded.where(F.length("block") >= least)
 
 
-def write_export(df: DataFrame, *paths: str, columns: list[str]) -> None:
-    """The columns in the given order as one CSV file with a header, to each of the paths."""
+def write_export(df: DataFrame, *paths: str, columns: list[str], order: list[str] | None = None) -> None:
+    """The columns in the given order as CSV files with headers, to each of the paths. The rows are sorted by ``order`` (all columns
+    unless told) over all files, in the order of the files' names, so a second run writes the same; no task has all rows."""
     rows = df.select(*columns)
+    rows = rows.repartitionByRange(*(order or columns)).sortWithinPartitions(*(order or columns))
     for path in paths:
-        rows.coalesce(1).write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+        rows.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+
+
+def write_json(df: DataFrame, path: str, order: list[str]) -> None:
+    """Rows as JSON lines with their columns in the order of their names, sorted over all files: equal rows give equal bytes."""
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
+    df.repartitionByRange(*order).sortWithinPartitions(*order).select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def json_array(spark: SparkSession, path: str, schema: StructType, required: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each element of files that are JSON arrays of objects. What is no array, no object or lacks a required field fails the query."""
+    if spark.read.text(path, wholetext=True).where(~F.ltrim("value").startswith("[")).limit(1).count():
+        raise ValueError(f"{path} has a file that is no array")
+    rows = spark.read.schema(schema).options(multiLine=True, mode="FAILFAST").json(path)
+    for name in required:
+        rows = rows.withColumn(name, F.when(F.col(name).isNotNull(), F.col(name)).otherwise(F.raise_error(F.lit(f"{name} is missing")).cast(schema[name].dataType)))
+    return rows
+
+
+def guarded(path: str, *outputs: str) -> str:
+    """``path``, or ValueError if it is one of the run's own outputs or lies in one."""
+    plain = lambda p: p.rstrip("/").removeprefix("file://").removeprefix("file:")
+    for out in outputs:
+        if plain(path) == plain(out) or plain(path).startswith(plain(out) + "/"):
+            raise ValueError(f"{path} is an output of this run")
+    return path
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:

