@@ -361,3 +361,14 @@ def test_without_training_rows_scores_are_finite(spark):
     docs = data.docs(spark).limit(5)
     got = mixing.score(docs, F.lit(True)).collect()
     assert all(r.base_score == 0 and r.n_known == 0 and math.isfinite(r.score) for r in got)
+
+
+def test_words_over_the_start_of_a_piece_keep_their_contexts():
+    sizes = mixing.sizes_of(1)
+    text = b"a" * (mixing.PIECE + 5) + b" some words " + b"bcdefghijk" * mixing.PIECE
+    data, starts = mixing.laid_out([text])
+    at = mixing.spread(starts, np.array([len(text)]))
+    whole = [e.copy() for e in mixing.entries(data, at, sizes)]
+    for i, part, some in mixing.walked(data, at):
+        for e, w in zip(mixing.entries(part, some, sizes), whole, strict=True):
+            assert (e == w[i]).all()
