@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, mixing, pieces, sharding, simhash, simple8b, url_filter, warc
+from . import decontam, exact_dedup, langid, mixing, pieces, sharding, simhash, simple8b, url_filter, vector_codes, warc
 from .common import cut, read_table
 
 
@@ -62,7 +62,39 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_lm_scoring, op4_sentencepiece, op5_warc, op6_url_filter, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination)}
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(read_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_lm_scoring, op4_sentencepiece, op5_warc, op6_url_filter, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination, op12_vector_codes)}
+
+
+def _vector_codes_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """Each round measures every entry: ``d`` has all distances, ``a`` the nearest entries, ``b`` the codebooks."""
+    steps = [
+        f"""k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+  list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))""",
+        f"p AS MATERIALIZED (SELECT rid, p, i, v[p * (len(v) // {parts}) + i + 1] AS x FROM k, range({parts}) AS t(p), range(len(v) // {parts}) AS u(i))",
+        f"b0 AS MATERIALIZED (SELECT p, rid - 1 AS e, i, x FROM p WHERE rid <= {entries})",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"d{r} AS MATERIALIZED (SELECT p.rid, p.p, b.e, sum((p.x - b.x) * (p.x - b.x)) AS d FROM p JOIN b{r} b ON p.p = b.p AND p.i = b.i GROUP BY ALL)")
+        steps.append(f"a{r} AS MATERIALIZED (SELECT rid, p, min(d) AS d, arg_min(e, d * {entries} + e) AS e FROM d{r} GROUP BY ALL)")
+        if r < rounds:
+            steps.append(
+                f"""b{r + 1} AS MATERIALIZED (SELECT b.p, b.e, b.i, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, b.x) AS x FROM b{r} b LEFT JOIN
+  (SELECT p.p, a.e, p.i, sum(p.x) AS s, count(*) AS n FROM p JOIN a{r} a ON p.rid = a.rid AND p.p = a.p GROUP BY ALL) m ON m.p = b.p AND m.e = b.e AND m.i = b.i)"""
+            )
+    return (
+        "WITH "
+        + ",\n".join(steps)
+        + f""",
+c AS (SELECT rid, string_agg(lower(printf('%02x', CAST(e AS INTEGER))), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY rid)
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) FROM b{rounds}) AS codebooks_sha256 FROM k JOIN c ON k.rid = c.rid"""
+    )
+
 
 ORACLES = {
     "op1_exact_dedup": r"""
@@ -70,4 +102,5 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.norm) AS text_sha256
 FROM n JOIN g ON n.norm = g.norm""",
+    "op12_vector_codes": _vector_codes_sql(),
 }
