@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, mixing, pieces, sharding, simhash, simple8b, url_filter, vector_codes, warc
+from . import decontam, exact_dedup, langid, mixing, pieces, sharding, simhash, simple8b, spelling, url_filter, vector_codes, warc
 from .common import cut, read_table
 
 
@@ -66,7 +66,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compressed(read_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_lm_scoring, op4_sentencepiece, op5_warc, op6_url_filter, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination, op12_vector_codes)}
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_lm_scoring, op4_sentencepiece, op5_warc, op6_url_filter, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination, op12_vector_codes, op13_spelling_variants)}
 
 
 def _vector_codes_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
@@ -103,4 +107,21 @@ g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP B
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.norm) AS text_sha256
 FROM n JOIN g ON n.norm = g.norm""",
     "op12_vector_codes": _vector_codes_sql(),
+    "op13_spelling_variants": r"""
+WITH RECURSIVE t AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS crc FROM range(256) AS r(i)),
+r AS (SELECT doc_id, run, count(*) AS n FROM
+  (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY doc_id, run),
+x AS (SELECT run, n, hex(encode(doc_id || ':' || run)) AS h FROM r),
+c AS (SELECT run, n, xor(4294967295, list_reduce(list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+  lambda a, b: xor(a // 256, crc[xor(a, b) % 256 + 1]), 4294967295)) AS h FROM x, t),
+d AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM c),
+w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM d WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+e AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS less FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+p AS (SELECT a.word, b.word AS near, b.n FROM e a JOIN e b ON a.i = b.i AND a.less = b.less AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT e.word, w.word, w.n FROM e JOIN w ON e.less = w.word UNION SELECT w.word, e.word, e.n FROM e JOIN w ON e.less = w.word),
+g AS (SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS best, max(n) AS best_n FROM p GROUP BY word),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form, CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n FROM w LEFT JOIN g ON w.word = g.word),
+z AS (SELECT word, word AS root FROM f UNION ALL SELECT z.word, f.form FROM z JOIN f ON z.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, f.n, f.n_near, f.form_n, z.root FROM f JOIN z ON f.word = z.word JOIN f l ON z.root = l.word WHERE l.form IS NULL""",
 }
