@@ -114,7 +114,7 @@ def frontier(words: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, DataFrame
     heavy = levels[0].where(F.col("size") > limit)
     fronts = levels[0].where(F.col("size") <= limit).select(F.col("node").alias("p"), F.lit(False).alias("alone"))
     pairs = spark.createDataFrame([], "p string, v string")
-    active = levels[1].select(F.lit("").alias("u"), F.col("node").alias("v"))
+    active = cut(levels[1].select(F.lit("").alias("u"), F.col("node").alias("v")), "active")  # a constant would make the join below one without a key
     while heavy.head(1):
         levels.append(level(depth + 2))
         short = F.substring("node", 1, depth)
