@@ -5,8 +5,8 @@ it that are known (5, then 4, 3, 2, 1 letters, with marks at the word's ends), e
 A text's score for a language is the sum over its words; the language with the highest sum is predicted, and the reported score
 is its share after a softmax of the sums over the square root of the number of words.
 
-The classifier is fit on a bounded sample of the labelled rows: ``FIT_ROWS`` rows of each language in expectation, picked by a
-hash of the id. It keeps every word and n-gram of those rows, so the model that is collected and broadcast is bounded by their texts;
+The classifier is fit on a bounded sample of the labelled rows: the ``FIT_ROWS`` different rows of each language whose hashes of id and text
+together are smallest (repeated rows count once, so neither they nor missing or equal ids change how many are taken). It keeps every word and n-gram of those rows, so the model that is collected and broadcast is bounded by their texts;
 prediction reads every text whole.
 
 Defined results: a text that is null, empty or without a letter is ``und`` with score 0, and so is every text if there is no
@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 FIT_ROWS, LONGEST = 2_000, 5
 #: Unseen words whose scores a task remembers.
@@ -70,15 +71,19 @@ class Model:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> Model:
-    """Learn from the rows whose text and language are not null."""
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
+    """Learn from the rows whose text and language are not null: ``fit_rows`` of each language at most, and all of them if it has no more."""
+    rows = labelled.select(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("h"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"))
+    rows = rows.where("text is not null and lang is not null")
+    sizes = {r["lang"]: r["count"] for r in rows.select("lang", "h").distinct().groupBy("lang").count().collect()}  # a row for each language
     langs = sorted(sizes)
     if not langs:
         return Model([], {}, np.zeros((0, 0), np.float32), {}, np.zeros((0, 0), np.float32))
     scale = 1 << 30
-    bound = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(scale, scale * fit_rows // n + 1)))]), F.col("lang"))
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(scale)) < bound).select("lang", "text")
+    bound = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(scale, scale * (2 * fit_rows + 100) // n + 1)))]), F.col("lang"))
+    # A few times as many as are taken, so that a window over them is small and none of the smallest is missed.
+    some = rows.where(F.pmod("h", F.lit(scale)) < bound).dropDuplicates(["lang", "h"])
+    nth = F.row_number().over(W.partitionBy("lang").orderBy(F.pmod("h", F.lit(scale)), "h"))
+    sample = some.withColumn("nth", nth).where(F.col("nth") <= fit_rows).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -79,13 +79,13 @@ def _part(fp: Column, low: int, width: int) -> Column:
 
 def segments_for(n: int, distance: int) -> int:
     """The number of segments that lets ``n`` fingerprints do the fewest probes and comparisons: few segments are wide, so their
-    balls are large and their buckets small."""
+    balls are large and their buckets small. Never more than ``distance``, so that every part enumerates a ball."""
 
     def work(segments: int) -> float:
         probes = sum(comb(w, r) for _, w in _cuts(segments) for r in range(distance // segments + 1))
         return n * probes * (1 + n / 2 ** (64 // segments))
 
-    return min(range(2, max(2, min(distance + 1, 8)) + 1), key=work)
+    return min(range(min(2, max(1, distance)), max(1, min(distance, 8)) + 1), key=work)
 
 
 def links(fps: DataFrame, distance: int, segments: int | None = None) -> DataFrame:

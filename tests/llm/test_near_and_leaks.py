@@ -234,3 +234,9 @@ def test_a_small_bad_branch_of_a_large_host_stays_literal(spark):
     urls = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
     got = {r.page_id: r.verdict for r in url_filter.judge(urls, [], label_col="bad").collect()}
     assert got == {i: "block" if b else "allow" for i, (_, b) in enumerate(rows)}
+
+
+def test_every_size_enumerates_hamming_balls():
+    for n in (0, 1, 100, 10**4, 10**6, 10**9, 10**12):
+        for distance in range(1, 9):
+            assert 1 <= simhash.segments_for(n, distance) <= distance

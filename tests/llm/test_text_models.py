@@ -372,3 +372,13 @@ def test_words_over_the_start_of_a_piece_keep_their_contexts():
     for i, part, some in mixing.walked(data, at):
         for e, w in zip(mixing.entries(part, some, sizes), whole, strict=True):
             assert (e == w[i]).all()
+
+
+def test_the_sample_of_the_language_classifier_is_bounded_whatever_the_ids(spark):
+    words = [f"w{''.join(chr(97 + int(c)) for c in str(i))}" for i in range(300)]
+    for ids in (range(300), [None] * 300, [7] * 300):
+        docs = spark.createDataFrame([(i, w, "aa") for i, w in zip(ids, words, strict=True)] + [(1, "zz", "bb")] * 50 + [(2, None, "cc")], "doc_id long, text string, lang string")
+        model = langid.fit(docs, fit_rows=40)
+        assert model.langs == ["aa", "bb"] and len(model.words) == 41
+        counts = [langid.fit(docs.repartition(n), fit_rows=40).words.keys() for n in (1, 5)]
+        assert counts[0] == counts[1] == model.words.keys()
