@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .common import cut
+
 FIT_ROWS, LONGEST = 2_000, 5
 #: Unseen words whose scores a task remembers.
 REMEMBER = 50_000
@@ -79,11 +81,16 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     if not langs:
         return Model([], {}, np.zeros((0, 0), np.float32), {}, np.zeros((0, 0), np.float32))
     scale = 1 << 30
-    bound = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(scale, scale * (2 * fit_rows + 100) // n + 1)))]), F.col("lang"))
-    # A few times as many as are taken, so that a window over them is small and none of the smallest is missed.
-    some = rows.where(F.pmod("h", F.lit(scale)) < bound).dropDuplicates(["lang", "h"])
-    nth = F.row_number().over(W.partitionBy("lang").orderBy(F.pmod("h", F.lit(scale)), "h"))
-    sample = some.withColumn("nth", nth).where(F.col("nth") <= fit_rows).select("lang", "text")
+    spot = F.pmod("h", F.lit(scale))
+
+    def below(bounds: dict[str, int]) -> Column:
+        return spot <= F.element_at(F.create_map(*[x for k, v in bounds.items() for x in (F.lit(k), F.lit(v))]), F.col("lang"))
+
+    # Twice as many hashes as rows are taken, so that no more than those are ranked and none of the smallest is missed; the texts come after that.
+    some = rows.where(below({k: min(scale, scale * (2 * fit_rows + 100) // n + 1) for k, n in sizes.items()})).select("lang", "h").distinct()
+    nth = F.row_number().over(W.partitionBy("lang").orderBy(spot, "h"))
+    last = some.withColumn("nth", nth).where(F.col("nth") <= fit_rows).groupBy("lang").agg(F.max(spot).alias("spot")).collect()  # a row for each language
+    sample = rows.where(below({r["lang"]: r["spot"] for r in last})).dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -93,7 +100,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             for lang, words in found.items():
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["lang", "word", "n"])
 
-    words = sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = cut(sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     marked = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
     units = words.select("lang", "n", F.lit(0).alias("size"), F.col("word").alias("unit"))
     for size in range(1, LONGEST + 1):
