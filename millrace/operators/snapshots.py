@@ -20,8 +20,10 @@ def pick(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def last_wins(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
-    """The row with the largest ordinal of each key."""
-    return pick(df, keys, [-F.col(ordinal)])
+    """The row with the largest ordinal of each key, whatever its type; null ordinals come before all others."""
+    rest = [c for c in df.columns if c not in keys]
+    latest = F.struct(F.col(ordinal).isNotNull(), F.col(ordinal))
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), latest).alias("__row")).select(*keys, "__row.*").select(*df.columns)
 
 
 def first_wins_union(frames: list[DataFrame], keys: list[str], tie: str) -> DataFrame:
@@ -49,15 +51,17 @@ def changed(diffed: DataFrame, *statuses: str) -> DataFrame:
     return diffed.where(F.col("change_status").isin(*statuses))
 
 
-def upsert(state: DataFrame, batch: DataFrame, key: str, value: str, run_date: Column, ordinal: str) -> DataFrame:
+def upsert(state: DataFrame, batch: DataFrame, key: str, value: str, run_date: Column, ordinal: str, tie: str | None = None) -> DataFrame:
     """State (key, first_seen, last_seen, current, previous, delta) after a batch (key, value, ordinal).
 
     Keys seen before keep their first date; ``delta`` is the last value of the batch less the one before it, in the batch or in the
-    state. Keys that are not in the batch stay as they are.
+    state. Keys that are not in the batch stay as they are. Of rows with the same ordinal, the one with the greater ``tie`` (or else value) is
+    the later one; rows count, not ordinals. No more than the last two rows of a key leave a task.
     """
-    ends = batch.groupBy(key).agg(F.max_by(value, ordinal).alias("last"), F.count(F.lit(1)).alias("times"))
-    before = batch.join(batch.groupBy(key).agg(F.max(ordinal).alias("__top")), key).where(F.col(ordinal) < F.col("__top")).groupBy(key).agg(F.max_by(value, ordinal).alias("inner"))
-    fresh = ends.join(before, key, "left")
+    order = [F.col(ordinal).desc_nulls_last(), F.col(tie or value).desc_nulls_last()]
+    last_two = batch.select(key, F.col(value).alias("__value"), F.row_number().over(W.partitionBy(key).orderBy(*order)).alias("__nth")).where("__nth <= 2")
+    nth = lambda n: F.max(F.when(F.col("__nth") == n, F.col("__value")))
+    fresh = last_two.groupBy(key).agg(nth(1).alias("last"), nth(2).alias("inner"), F.count(F.lit(1)).alias("times"))
     old = state.select(key, F.col("first_seen").alias("__first"), F.col("last_seen").alias("__last"), F.col("current").alias("__current"), F.col("previous").alias("__previous"), F.col("delta").alias("__delta"))
     both = old.join(fresh, key, "full_outer")
     hit = F.col("times").isNotNull()
@@ -90,10 +94,14 @@ def ranked(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
 def dated_diff(old: DataFrame, new: DataFrame, keys: list[str], compare: list[str], run_date: Column, labels: tuple[str, str, str, str] = ("NEW_RECORD", "SAME", "UPDATED", "DISAPPEARED")) -> DataFrame:
     """``diff`` of a snapshot that knows first_seen and last_seen with a new one that does not: rows that are there keep their first_seen and are last seen
     on the run's date; rows that are gone keep both."""
-    rows = diff(old.drop("first_seen", "last_seen"), new, keys, compare, labels)
-    seen = old.select(*keys, "first_seen", "last_seen")
-    out = rows.join(seen, keys, "left")
-    return out.withColumns({"first_seen": F.coalesce("first_seen", run_date), "last_seen": F.when(F.col("change_status") == labels[3], F.col("last_seen")).otherwise(run_date)})
+    there = new.withColumns({"first_seen": run_date, "last_seen": run_date})
+    rest = [c for c in there.columns if c not in keys]
+    a = old.select(*keys, F.struct(*rest).alias("__old"))
+    b = there.select(*keys, F.struct(*rest).alias("__new"))
+    equal = reduce(lambda x, y: x & y, [F.col(f"__old.{c}").eqNullSafe(F.col(f"__new.{c}")) for c in compare], F.lit(True))
+    status = F.when(F.col("__old").isNull(), labels[0]).when(F.col("__new").isNull(), labels[3]).when(equal, labels[1]).otherwise(labels[2])
+    both = a.join(b, keys, "full_outer").select(*keys, status.alias("change_status"), F.coalesce("__new", "__old").alias("__row"), F.col("__old.first_seen").alias("__first"))
+    return both.select(*keys, "__row.*", "change_status", "__first").withColumn("first_seen", F.coalesce("__first", "first_seen")).drop("__first")
 
 
 def rebuilt(batch: DataFrame, key: str, value: str, run_date: Column) -> DataFrame:
