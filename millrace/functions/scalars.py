@@ -29,8 +29,9 @@ def normalized_line(c: Column) -> Column:
 
 
 def leading_number(c: Column) -> Column:
-    """Digits at the beginning, with a letter or a range after them, without spaces; empty if there are none."""
-    return F.regexp_replace(F.regexp_extract(c, r"^\s*(\d+[A-Za-z]?(?:\s*-\s*\d+)?)(?=\s|$)", 1), r"\s+", "")
+    """The number that a text begins with, or the range of two, each with one letter at most, upper case without spaces; empty if there is none."""
+    one = r"\d+[A-Z]?"
+    return F.regexp_replace(F.regexp_extract(F.upper(c), rf"^\s*({one}(?:\s*-\s*{one})?)", 1), r"\s+", "")
 
 
 def tokens(c: Column, least: int = 1) -> Column:
@@ -120,14 +121,25 @@ def cleaned_name(c: Column) -> Column:
     return F.rtrim(text, F.lit(" ,.;:"))
 
 
+def _words(c: Column) -> Column:
+    """Upper case, single spaces, without a first word that begins with a digit."""
+    text = F.trim(F.regexp_replace(F.upper(F.coalesce(c, F.lit(""))), r"(?U)\s+", " "))
+    return F.regexp_replace(text, r"^\d[^ ]*(?: |$)", "")
+
+
+def _any_of(words: list[str]) -> str:
+    return "(?:" + "|".join(rf"\Q{w.upper()}\E" for w in words) + ")" if words else "(?!)"
+
+
 def body_words(c: Column, leading: list[str], trailing: list[str]) -> Column:
-    """The words (upper case) without a number in front, then without leading and trailing words of the lists; one word always stays."""
-    words = F.filter(F.split(F.upper(c), r"(?U)\s+"), lambda w: w != "")
-    words = F.when((F.size(words) > 1) & F.get(words, 0).rlike(r"^\d+[A-Z]?$"), F.slice(words, 2, F.size(words))).otherwise(words)
-    for _ in range(2):
-        words = F.when((F.size(words) > 1) & F.get(words, 0).isin(leading), F.slice(words, 2, F.greatest(F.size(words), F.lit(1)))).otherwise(words)
-        words = F.when((F.size(words) > 1) & F.element_at(words, -1).isin(trailing), F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1)))).otherwise(words)
-    return words
+    """The words (upper case) without a number in front, then without any leading and trailing words of the lists, however many; none may be left."""
+    text = F.regexp_replace(_words(c), f"^(?:{_any_of(leading)}(?: |$))+", "")
+    return F.filter(F.split(F.regexp_replace(text, f"(?:(?:^| ){_any_of(trailing)})+$", ""), " "), lambda w: w != "")
+
+
+def root_word(c: Column, leading: list[str]) -> Column:
+    """The first word after the number and the leading words; empty if there is none."""
+    return F.split_part(F.regexp_replace(_words(c), f"^(?:{_any_of(leading)}(?: |$))+", ""), F.lit(" "), F.lit(1))
 
 
 def listed(c: Column, code: str) -> Column:

@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from .loose import contained_sets
 
 
 def enrich(rows: DataFrame, dimension: DataFrame, key: str, dimension_key: str) -> DataFrame:
@@ -15,18 +18,36 @@ def enrich(rows: DataFrame, dimension: DataFrame, key: str, dimension_key: str)
     return out.withColumn("enriched", F.coalesce("enriched", F.lit(False)))
 
 
-def tiered_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, int, list[str]]], verify: Column | None = None, ambiguous: dict[str, int] | None = None) -> DataFrame:
+def _counted(right: DataFrame, right_id: str, columns: list[str]) -> DataFrame:
+    """The columns' values with n (distinct ids), low and second (the two smallest ids): what a join needs to know of a group, however large it is."""
+    ids = right.select(*columns, F.col(right_id).alias("__id")).where(F.col(right_id).isNotNull()).distinct()
+    two = ids.withColumn("__nth", F.row_number().over(W.partitionBy(*columns).orderBy("__id"))).where("__nth <= 2")
+    nth = lambda n: F.max(F.when(F.col("__nth") == n, F.col("__id")))
+    ends = two.groupBy(*columns).agg(nth(1).alias("low"), nth(2).alias("second"))
+    return ids.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).join(ends, columns)
+
+
+def tiered_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, int, list[str]]], verify: Column | None = None, ambiguous: dict[str, int] | None = None, itself: bool = False) -> DataFrame:
     """One row for each left id: tier, confidence, candidates, match_id (smallest of the best tier's), ambiguous.
 
     Each tier is an equi-join on its columns (which both sides have); the first tier in which a left row finds anything decides.
-    Left rows without any candidate have tier null and confidence 0. ``verify`` may look at columns of both sides as ``l`` and ``r``.
-    A row with several candidates gets the confidence that ``ambiguous`` has for its tier, if any. Null columns match nothing.
+    Left rows without any candidate have tier null and confidence 0. A row with several candidates gets the confidence that ``ambiguous`` has for
+    its tier, if any. Null columns match nothing. With ``itself``, both sides are one table, and no row is its own candidate.
+
+    The right side is reduced to a row for each value of a tier's columns first, so no pairs are made. ``verify`` looks at columns of both sides as
+    ``l`` and ``r``, which takes the pairs: give tiers columns that few rows share.
     """
     found = []
     for place, (name, confidence, columns) in enumerate(tiers):
-        same = reduce(lambda x, y: x & y, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in columns])
-        hit = left.alias("l").join(right.alias("r"), same if verify is None else same & verify)
-        counted = hit.groupBy(F.col(f"l.{left_id}").alias(left_id)).agg(F.count_distinct(f"r.{right_id}").alias("candidates"), F.min(f"r.{right_id}").alias("match_id"))
+        if verify is None:
+            hit = left.select(left_id, *columns).join(_counted(right, right_id, columns), columns)
+            own = F.lit(1 if itself else 0)
+            low = F.when(F.col("low") == F.col(left_id), F.col("second")).otherwise(F.col("low")) if itself else F.col("low")
+            counted = hit.select(left_id, (F.col("n") - own).alias("candidates"), low.alias("match_id")).where("candidates > 0")
+        else:
+            same = reduce(lambda x, y: x & y, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in columns])
+            hit = left.alias("l").join(right.alias("r"), same & verify & (F.col(f"l.{left_id}") != F.col(f"r.{right_id}") if itself else F.lit(True)))
+            counted = hit.groupBy(F.col(f"l.{left_id}").alias(left_id)).agg(F.count_distinct(f"r.{right_id}").alias("candidates"), F.min(f"r.{right_id}").alias("match_id"))
         found.append(counted.select(left_id, F.struct(F.lit(place).alias("place"), F.lit(name).alias("tier"), F.lit(confidence).alias("confidence"), F.lit((ambiguous or {}).get(name, confidence)).alias("shared"), "candidates", "match_id").alias("hit")))
     best = reduce(DataFrame.union, found).groupBy(left_id).agg(F.min("hit").alias("hit"))
     out = left.select(left_id).join(best, left_id, "left")
@@ -76,6 +97,24 @@ def resolve(hits: DataFrame, key: str, place: str, match: str, most: int = 5) ->
     return best.select(key, F.when(F.col("b.matches") == 1, "definitive").otherwise("ambiguous").alias("status"), f"b.{place}", F.col("b.matches").alias("matches"), F.when(F.col("b.matches") == 1, F.col("b.match")).alias("match"))
 
 
+def resolve_by(left: DataFrame, right: DataFrame, left_id: str, right_id: str, strategies: list[list[str]], most: int = 5, order: str | None = None) -> DataFrame:
+    """As ``resolve``, with strategies as columns that both sides have, in order. Matches are counted on the right side alone, so no pairs are made.
+
+    left may have several rows of an id (co-owners, say), with ``order`` their place: each is tried with all strategies in turn; the first with one match decides,
+    wherever it stands, and else the first with 2 to ``most``.
+    """
+    place = F.col(order) if order else F.lit(0)
+    found = []
+    for nth, columns in enumerate(strategies, 1):
+        hit = left.select(left_id, place.alias("order"), *columns).join(_counted(right, right_id, columns), columns)
+        found.append(hit.select(left_id, "order", F.lit(nth).alias("place"), F.col("n").alias("matches"), F.col("low").alias("match")))
+    usable = reduce(DataFrame.union, found).where(F.col("matches") <= most)
+    rank = F.struct((F.col("matches") > 1).alias("several"), "order", "place", "match")
+    best = usable.groupBy(left_id).agg(F.min_by(F.struct("order", "place", "matches", "match"), rank).alias("b"))
+    one = F.col("b.matches") == 1
+    return best.select(left_id, F.when(one, "definitive").otherwise("ambiguous").alias("status"), "b.order", "b.place", "b.matches", F.when(one, F.col("b.match")).alias("match"))
+
+
 def unique_lookup(rows: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
     """``rows`` with ``value`` from the table where the key has exactly one; else null."""
     one = table.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), F.min(value).alias(value)).where("__rows = 1").drop("__rows")
@@ -96,6 +135,28 @@ def best_overlap(pairs: DataFrame, key: str, candidate: str, wanted: str, offere
     return at_top.where((F.col("n") == 1) & F.col("b.covered")).select(key, "b.*")
 
 
+def best_cover(wanted: DataFrame, offered: DataFrame, key: str, candidate: str, tokens: str, on: list[str], itself: bool = False) -> DataFrame:
+    """As ``best_overlap`` of all pairs with equal ``on``, for tables that have ``tokens`` as an array each. With ``itself``, no key is its own candidate.
+
+    Only a candidate that has all wanted tokens can be the answer, and one that has shares as many as can be; so those are looked up by their rarest token,
+    and the pairs of a group are not made. A key that wants nothing has no row.
+    """
+    def marked(df: DataFrame, id_col: str) -> DataFrame:
+        place = F.to_json(F.array(*[F.col(c).cast("string") for c in on]))
+        items = F.transform(F.array_distinct(tokens), lambda t: F.concat(place, t))
+        return df.where(" and ".join(f"`{c}` is not null" for c in on)).select(F.col(id_col).alias("id"), items.alias("items"), F.array_distinct(tokens).alias("tokens"))
+
+    a, b = marked(wanted, key), marked(offered, candidate)
+    pairs = contained_sets(a, b, "items", "id")
+    pairs = pairs.where("small <> large") if itself else pairs
+    sizes = lambda df, name: df.select(F.col("id").alias(name), F.size("tokens").alias(f"{name}_size"))
+    scored = pairs.join(sizes(a, "small"), "small").join(sizes(b, "large"), "large")
+    scored = scored.select("small", "large", F.col("small_size").alias("overlap"), (F.col("large_size") - F.col("small_size")).alias("extra"))
+    least = scored.groupBy("small").agg(F.min("extra").alias("extra"))
+    top = scored.join(least, ["small", "extra"]).groupBy("small").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("large", "overlap", "extra")).alias("b")).where("n = 1")
+    return top.select(F.col("small").alias(key), F.col("b.large").alias(candidate), "b.overlap", "b.extra", F.lit(True).alias("covered"))
+
+
 def missing_references(rows: DataFrame, column: str, table: DataFrame, key: str) -> DataFrame:
     """Distinct referenced values that the table does not have. Null refers to nothing."""
     asked = rows.select(F.col(column).alias("missing")).where("missing is not null").distinct()

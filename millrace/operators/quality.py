@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .aggregates import header as counted
+
 
 class ContractError(ValueError):
     """Rows break a contract."""
@@ -67,3 +69,13 @@ def unique(df: DataFrame, keys: list[str]) -> DataFrame:
     if twice := duplicate_keys(df, keys).limit(5).collect():
         raise ContractError("repeated keys, such as " + ", ".join(str(tuple(r[k] for k in keys)) for r in twice))
     return df
+
+
+def header_mismatch(df: DataFrame, header: DataFrame, columns: list[str]) -> DataFrame:
+    """column, value, stated, counted: where a stored header (see ``aggregates.header``) is not that of the rows. Empty if it is; a value that one side lacks counts as none there."""
+    names = ["column", "value"]
+    stated = header.groupBy(*names).agg(F.sum("n").alias("stated"))
+    fresh = counted(df, columns).withColumnRenamed("n", "counted")
+    same = [stated[c].eqNullSafe(fresh[c]) for c in names]
+    both = stated.join(fresh, same, "full_outer").select(*[F.coalesce(stated[c], fresh[c]).alias(c) for c in names], F.coalesce("stated", F.lit(0)).alias("stated"), F.coalesce("counted", F.lit(0)).alias("counted"))
+    return both.where("stated <> counted")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -90,6 +92,17 @@ def fan_out(broad: dict[str, list[str]], explicit: dict[str, object], values: di
     return {a: values[k] for k, aliases in broad.items() for a in aliases if k in values} | explicit | (override or {})
 
 
+def fan_out_rows(broad: DataFrame, values: DataFrame, explicit: DataFrame, override: DataFrame | None = None) -> DataFrame:
+    """The same with tables: (alias, value, origin) from broad (key, alias), values (key, value), explicit and override (alias, value).
+
+    Each alias of a key has that key's value; an explicit row wins over those, and a run's own over all. origin says which it was. Of several values of one
+    alias and origin the smallest counts.
+    """
+    ranked = [(broad.join(values, "key"), "broad", 2), (explicit, "explicit", 1)] + ([(override, "override", 0)] if override is not None else [])
+    rows = reduce(DataFrame.unionByName, [df.select("alias", F.struct(F.lit(rank).alias("rank"), F.col("value").alias("value"), F.lit(name).alias("origin")).alias("v")) for df, name, rank in ranked])
+    return rows.groupBy("alias").agg(F.min("v").alias("v")).select("alias", "v.value", "v.origin")
+
+
 def review(seeds: Column, rules: dict[str, Column]) -> Column:
     """struct<reasons, status>: the seeds and the names of the conditions that hold, in order and each once; status is ``review`` if there is any, else ``clear``."""
     found = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]))
@@ -102,9 +115,40 @@ def fuzzy_label(c: Column, labels: list[str], least: float = 0.9, opposites: tup
     of which only one has a word out of ``opposites`` are never alike."""
     scored = []
     for i, label in enumerate(labels):
-        like = 1 - F.levenshtein(c, F.lit(label)) / F.greatest(F.length(c), F.lit(len(label)))
+        like = 1 - F.levenshtein(c, F.lit(label)) / F.greatest(F.length(c), F.lit(max(1, len(label))))
         for word in opposites:
             like = F.when(F.contains(c, F.lit(word)) == F.lit(word in label), like).otherwise(-1.0)
         scored.append(F.struct(like.alias("like"), F.lit(-i).alias("place"), F.lit(label).alias("label")))
     best = F.greatest(*scored) if len(scored) > 1 else scored[0]
     return F.when(best["like"] >= least, best["label"])
+
+
+def prefix_class(c: Column, usable: list[str], review: list[str], noise: list[str]) -> Column:
+    """What the letters that a code begins with (in any case) make of it: ``usable``, ``review``, ``noise`` or ``unsupported``; a code without letters in front is noise, and so is none."""
+    prefix = F.regexp_extract(F.upper(F.coalesce(c, F.lit(""))), r"^\s*([A-Z]+)", 1)
+    of = lambda values: prefix.isin([v.upper() for v in values])
+    return F.when(prefix == "", "noise").when(of(usable), "usable").when(of(review), "review").when(of(noise), "noise").otherwise("unsupported")
+
+
+def elsewhere(region: Column, zone: Column, home: str, known: list[str], home_zones: list[str]) -> Column:
+    """Whether a row is from a known region other than ``home``, and its zone (a postal code, say) does not begin like one of home's. Anything missing or unknown is not elsewhere."""
+    code, begins = F.upper(F.trim(region)), F.lit(False)
+    for z in home_zones:
+        begins = begins | F.startswith(F.coalesce(F.trim(zone), F.lit("")), F.lit(z))
+    return F.coalesce(code.isin([k.upper() for k in known]) & (code != home.upper()) & ~begins, F.lit(False))
+
+
+def regime(c: Column, modes: list[tuple[str, str]]) -> Column:
+    """The mode of the first (fragment, mode) that a free text contains, whatever the case; null if it has none."""
+    text = F.upper(c)
+    return F.coalesce(*[F.when(F.contains(text, F.lit(f.upper())), F.lit(m)) for f, m in modes])
+
+
+def by_regime(name: Column, table: dict[str, str], mode: Column, variants: dict[str, dict[str, str]], sentinel: str = "by_regime") -> Column:
+    """What a table has for a name; where that is the sentinel, what the name's ``variants`` have for the mode. Null if there is nothing."""
+    def lookup(pairs: dict[str, str], key: Column) -> Column:
+        return F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), F.lit(v))])[key] if pairs else F.lit(None).cast("string")
+
+    found = lookup(table, name)
+    inner = F.coalesce(*[F.when(name == n, lookup(pairs, mode)) for n, pairs in variants.items()], F.lit(None).cast("string"))
+    return F.when(found == sentinel, inner).otherwise(found)

@@ -9,7 +9,7 @@ from ..functions.dates import DateRules
 from ..operators import aggregates, matching, quality, rules, snapshots, views
 from ..sources import files
 from ..sources.adapter import Adapter
-from .queries import _SNAPSHOTS, _two_snapshots, query, strategy_resolve, table
+from .queries import _RESOLVED, _SNAPSHOTS, _two_snapshots, query, strategy_resolve, table
 
 
 @query("""SELECT DISTINCT l_orderkey, l_partkey AS missing FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <> 5)""")
@@ -30,9 +30,7 @@ def unseen_keys(spark, d):
     return matching.unseen(table(spark, d, "customer").select("c_custkey", "c_name"), table(spark, d, "orders").where("o_orderstatus = 'F'"), "c_custkey", "o_custkey")
 
 
-@query("""WITH s(k, place, t) AS (SELECT c_custkey, 1, p_partkey FROM customer JOIN part ON c_custkey % 700 = p_partkey % 700 AND p_size > 40 UNION ALL SELECT c_custkey, 2, p_partkey FROM customer JOIN part ON c_custkey % 500 = p_partkey % 500 AND p_size < 10),
-g AS (SELECT k, place, count(DISTINCT t) AS matches, min(t) AS t FROM s GROUP BY ALL HAVING count(DISTINCT t) <= 5), b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY matches > 1, place) AS rn FROM g)
-SELECT c_custkey AS k, c_mktsegment, CASE WHEN matches IS NULL THEN 'rejected' WHEN matches = 1 AND c_mktsegment <> 'MACHINERY' THEN 'confirmed' ELSE 'possible' END AS decision, CASE WHEN matches = 1 THEN t END AS match
+@query(f"""WITH {_RESOLVED} SELECT c_custkey AS k, c_mktsegment, CASE WHEN matches IS NULL THEN 'rejected' WHEN matches = 1 AND c_mktsegment <> 'MACHINERY' THEN 'confirmed' ELSE 'possible' END AS decision, CASE WHEN matches = 1 THEN t END AS match
 FROM customer LEFT JOIN (SELECT * FROM b WHERE rn = 1) ON k = c_custkey""")
 def match_policy(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment")
@@ -108,11 +106,31 @@ def gate_offenders(spark, d):
     return quality.offenders(table(spark, d, "orders"), "o_orderkey", {"dear": F.col("o_totalprice") > 400000, "stuck": (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")})
 
 
-@query("""SELECT CASE WHEN count(*) FILTER (l_extendedprice < 0) > 0 THEN 'blocked' WHEN count(*) FILTER (l_discount > 0.09) > 0 THEN 'review' ELSE 'ok' END AS verdict, 'released' AS action,
-concat_ws('|', CASE WHEN count(*) FILTER (l_discount > 0.09) > 0 THEN 'high discount' END, CASE WHEN count(*) FILTER (l_extendedprice < 0) > 0 THEN 'negative price' END) AS failed FROM lineitem""")
+@query("""WITH v AS (SELECT 'plain' AS run, l_linestatus AS part, CASE WHEN count(*) FILTER (l_extendedprice < 1000) > 0 THEN 'blocked' WHEN count(*) FILTER (l_discount > 0.09) > 0 THEN 'review' ELSE 'ok' END AS verdict,
+concat_ws('|', CASE WHEN count(*) FILTER (l_discount > 0.09) > 0 THEN 'high discount' END, CASE WHEN count(*) FILTER (l_extendedprice < 1000) > 0 THEN 'low price' END) AS failed FROM lineitem GROUP BY 2
+UNION ALL SELECT 'strict', l_linestatus, CASE WHEN count(*) FILTER (l_discount > 0.09) > 0 THEN 'blocked' ELSE 'ok' END, concat_ws('|', CASE WHEN count(*) FILTER (l_discount > 0.09) > 0 THEN 'high discount' END) FROM lineitem GROUP BY 2
+UNION ALL SELECT 'mild', l_linestatus, CASE WHEN count(*) FILTER (l_tax > 0.07) > 0 THEN 'review' ELSE 'ok' END, concat_ws('|', CASE WHEN count(*) FILTER (l_tax > 0.07) > 0 THEN 'high tax' END) FROM lineitem GROUP BY 2)
+SELECT run, part, verdict, CASE WHEN run = 'strict' THEN 'released' ELSE verdict END AS action, failed FROM v""")
 def gate_action(spark, d):
-    gated = quality.gate(table(spark, d, "lineitem"), {"negative price": F.col("l_extendedprice") < 0}, {"high discount": F.col("l_discount") > 0.09}, ["currency"])
-    return quality.action(gated, "released").withColumn("failed", F.array_join("failed", "|"))
+    """Three gates over either half of the lines; only the strict one is overridden."""
+    lines, dear, cheap = table(spark, d, "lineitem"), F.col("l_discount") > 0.09, F.col("l_extendedprice") < 1000
+    gates = {"plain": ({"low price": cheap}, {"high discount": dear}, None), "strict": ({"high discount": dear}, {}, "released"), "mild": ({}, {"high tax": F.col("l_tax") > 0.07}, None)}
+    out = [
+        quality.action(quality.gate(lines.where(F.col("l_linestatus") == part), bad, doubtful, ["currency"]), override).withColumns({"run": F.lit(run), "part": F.lit(part), "failed": F.array_join("failed", "|")})
+        for run, (bad, doubtful, override) in gates.items()
+        for part in ("F", "O")
+    ]
+    return files.union_all(out)
+
+
+@query(_SNAPSHOTS + """, a0 AS (SELECT 'o_orderstatus' AS "column", o_orderstatus AS value, count(*) AS n FROM a GROUP BY 2 UNION ALL SELECT 'cents', CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 100 AS VARCHAR), count(*) FROM a GROUP BY 2),
+b0 AS (SELECT 'o_orderstatus' AS "column", o_orderstatus AS value, count(*) AS n FROM b GROUP BY 2 UNION ALL SELECT 'cents', CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 100 AS VARCHAR), count(*) FROM b GROUP BY 2)
+SELECT coalesce(x."column", y."column") AS "column", coalesce(x.value, y.value) AS value, coalesce(x.n, 0) AS stated, coalesce(y.n, 0) AS counted FROM a0 x FULL OUTER JOIN b0 y ON x."column" = y."column" AND x.value = y.value WHERE coalesce(x.n, 0) <> coalesce(y.n, 0)""")
+def header_check(spark, d):
+    """The header of an earlier snapshot, held against the rows of a later one."""
+    columns = ["o_orderstatus", "cents"]
+    old, new = (x.withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint") % 100) for x in _two_snapshots(spark, d))
+    return quality.header_mismatch(new, aggregates.header(old, columns), columns)
 
 
 @query("""SELECT event_id AS raw_id, 'shop' AS source, CASE upper(event_type) WHEN 'CLICK' THEN 'INTERACTION' WHEN 'VIEW' THEN 'INTERACTION' WHEN 'PURCHASE' THEN 'TRANSACTION' ELSE 'OTHER' END AS kind,
@@ -171,19 +189,32 @@ def fuzzy_types(spark, d):
     return p.select("p_partkey", rules.fuzzy_label(F.col("t"), ["ECONOMY", "PROMO", "STANDARD", "SMALL"], 0.6).alias("label"))
 
 
-@query("""SELECT event_type, value, count(*) AS n FROM (SELECT event_type, CASE event_type WHEN 'click' THEN 9 WHEN 'view' THEN 2 WHEN 'purchase' THEN 7 ELSE 0 END AS value FROM events) GROUP BY ALL""")
+@query("""WITH b AS (SELECT p_type AS key, p_brand AS alias FROM part GROUP BY ALL HAVING count(*) >= 2), v AS (SELECT p_type AS key, min(p_size) AS value FROM part GROUP BY 1), e AS (SELECT p_brand AS alias, max(p_size) AS value FROM part WHERE p_size < 25 GROUP BY 1 HAVING count(*) % 2 = 0),
+o AS (SELECT p_brand AS alias, count(*)::INTEGER AS value FROM part WHERE p_type = 'PROMO' GROUP BY 1 HAVING count(*) % 5 = 0),
+a AS (SELECT alias, value, 'broad' AS origin, 2 AS rank FROM b JOIN v USING (key) UNION ALL SELECT alias, value, 'explicit', 1 FROM e UNION ALL SELECT alias, value, 'override', 0 FROM o),
+r AS (SELECT alias, value, origin, row_number() OVER (PARTITION BY alias ORDER BY rank, value) AS rn FROM a)
+SELECT p_partkey, r.value, r.origin FROM part LEFT JOIN r ON alias = p_brand AND rn = 1""")
 def rule_fan_out(spark, d):
-    worth = rules.fan_out({"look": ["click", "view"], "buy": ["purchase"]}, {"view": 2}, {"look": 1, "buy": 7}, {"click": 9})
-    points = F.coalesce(F.create_map(*[x for k, v in worth.items() for x in (F.lit(k), F.lit(v))])[F.col("event_type")], F.lit(0))
-    return table(spark, d, "events").select("event_type", points.alias("value")).groupBy("event_type", "value").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("""WITH w AS (SELECT p_partkey, string_split(upper(p_name), ' ') AS w FROM part), l AS (SELECT p_partkey, CASE WHEN len(w) > 1 AND w[1] IN ('RED', 'BLUE') THEN w[2:] ELSE w END AS w FROM w), t AS (SELECT p_partkey, CASE WHEN len(w) > 1 AND w[-1] IN ('BOLT', 'NUT') THEN w[:-2] ELSE w END AS w FROM l),
-l2 AS (SELECT p_partkey, CASE WHEN len(w) > 1 AND w[1] IN ('RED', 'BLUE') THEN w[2:] ELSE w END AS w FROM t), t2 AS (SELECT p_partkey, CASE WHEN len(w) > 1 AND w[-1] IN ('BOLT', 'NUT') THEN w[:-2] ELSE w END AS w FROM l2)
-SELECT p_partkey, array_to_string(w, ' ') AS body FROM t2""")
+    """Rules of part types fan out to the brands that have them; some brands have rules of their own, and a run overrides a few."""
+    p = table(spark, d, "part")
+    broad = p.groupBy(F.col("p_type").alias("key"), F.col("p_brand").alias("alias")).agg(F.count(F.lit(1)).alias("n")).where("n >= 2").drop("n")
+    values = p.groupBy(F.col("p_type").alias("key")).agg(F.min("p_size").alias("value"))
+    explicit = p.where("p_size < 25").groupBy(F.col("p_brand").alias("alias")).agg(F.max("p_size").alias("value"), F.count(F.lit(1)).alias("n")).where("n % 2 = 0").drop("n")
+    override = p.where("p_type = 'PROMO'").groupBy(F.col("p_brand").alias("alias")).agg(F.count(F.lit(1)).cast("int").alias("value")).where("value % 5 = 0")
+    return p.select("p_partkey", F.col("p_brand").alias("alias")).join(rules.fan_out_rows(broad, values, explicit, override), "alias", "left").select("p_partkey", "value", "origin")
+
+
+@query("""WITH r AS (SELECT p_partkey, upper(CASE p_partkey % 5 WHEN 0 THEN '12b ' || p_name WHEN 1 THEN '12-14B RED blue RED ' || p_name || ' nut BOLT NUT' WHEN 2 THEN '7 red bolt' WHEN 3 THEN p_size || 'ABC ' || p_name || ' ' || p_type ELSE '123-' || p_size || 'b  BLUE x ' || p_name END) AS t FROM part),
+w AS (SELECT p_partkey, t, list_filter(string_split(t, ' '), lambda x: x <> '') AS w FROM r), n AS (SELECT p_partkey, t, CASE WHEN regexp_matches(w[1], '^[0-9]') THEN w[2:] ELSE w END AS w FROM w),
+l AS (SELECT p_partkey, t, w[coalesce(list_position(list_transform(w, lambda x: x NOT IN ('RED', 'BLUE')), true), len(w) + 1):] AS w FROM n),
+z AS (SELECT *, list_reverse(w) AS v FROM l)
+SELECT p_partkey, array_to_string(list_reverse(v[coalesce(list_position(list_transform(v, lambda x: x NOT IN ('BOLT', 'NUT')), true), len(v) + 1):]), ' ') AS body, coalesce(w[1], '') AS root,
+  replace(regexp_extract(t, '^([0-9]+[A-Z]?( *- *[0-9]+[A-Z]?)?)', 1), ' ', '') AS number FROM z""")
 def body_words(spark, d):
-    body = S.body_words(F.concat(F.lit("12b "), F.col("p_name")), ["RED", "BLUE"], ["BOLT", "NUT"])
-    return table(spark, d, "part").select("p_partkey", F.array_join(body, " ").alias("body"))
+    name, size, key = F.col("p_name"), F.col("p_size").cast("string"), F.col("p_partkey") % 5
+    raw = F.when(key == 0, F.concat(F.lit("12b "), name)).when(key == 1, F.concat(F.lit("12-14B RED blue RED "), name, F.lit(" nut BOLT NUT"))).when(key == 2, "7 red bolt")
+    raw = raw.when(key == 3, F.concat(size, F.lit("ABC "), name, F.lit(" "), "p_type")).otherwise(F.concat(F.lit("123-"), size, F.lit("b  BLUE x "), name))
+    return table(spark, d, "part").select("p_partkey", F.array_join(S.body_words(raw, ["RED", "BLUE"], ["BOLT", "NUT"]), " ").alias("body"), S.root_word(raw, ["RED", "BLUE"]).alias("root"), S.leading_number(raw).alias("number"))
 
 
 @query("""SELECT p_partkey, p_name || ' ' || p_type AS name, p_type IN ('ECONOMY', 'PROMO') AS listed FROM part""")
@@ -214,3 +245,38 @@ def primary_date(spark, d):
     """The latest date of each group, of the rows whose fixed-width month comes before another."""
     o = table(spark, d, "orders").where(F.date_format("o_orderdate", "yyyy-MM") < "1997-06")
     return aggregates.merge_groups(o.withColumn("key", F.col("o_orderkey").cast("string")), ["o_custkey"], "key", [], "o_orderdate").select("o_custkey", F.col("latest").alias("primary_date"))
+
+
+@query("""WITH o AS (SELECT o_orderkey, date_trunc('month', o_orderdate)::DATE AS m FROM orders), f AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN m WHEN 1 THEN (m + ((8 - isodow(m)) % 7)::INTEGER)::DATE ELSE (m + CASE isodow(m) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END::INTEGER)::DATE END AS c FROM o),
+h AS (SELECT *, strftime(c, '%m-%d') IN ('01-01', '07-04', '09-02', '12-25', '03-01', '05-01') AS hit, isodow(c) AS w FROM f)
+SELECT o_orderkey, CASE WHEN hit THEN (c + (CASE WHEN w < 3 THEN 3 - w ELSE 10 - w END)::INTEGER)::DATE ELSE c END AS wednesday, CASE WHEN hit THEN (c + CASE w WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END::INTEGER)::DATE ELSE c END AS after, CASE WHEN hit THEN (c - CASE w WHEN 1 THEN 3 WHEN 7 THEN 2 ELSE 1 END::INTEGER)::DATE ELSE c END AS before FROM h""")
+def listed_days(spark, d):
+    """Dates that move off listed days only: to the next Wednesday, the working day after, or the one before."""
+    known, closed = DateRules(), ["01-01", "07-04", "09-02", "12-25", "03-01", "05-01"]
+    name = F.when(F.col("o_orderkey") % 4 == 0, "first_of_month").when(F.col("o_orderkey") % 4 == 1, "first_mon").otherwise("first_business_day")
+    modes = {"wednesday": "listed:Wed", "after": "listed:next", "before": "listed:previous"}
+    return table(spark, d, "orders").select("o_orderkey", *[known.by(name, F.to_date("o_orderdate"), m, closed).alias(c) for c, m in modes.items()])
+
+
+@query("""WITH w AS (SELECT p_partkey, p_brand, p_size, list_distinct(string_split(p_name || ' ' || lower(p_type), ' ')) AS w FROM part), h AS (SELECT a.p_partkey, min(b.p_partkey) AS match_id, count(*) AS candidates FROM w a JOIN w b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey <> b.p_partkey AND len(list_intersect(a.w, b.w)) >= 1 GROUP BY 1)
+SELECT p.p_partkey, CASE WHEN candidates > 0 THEN 'brand_size' END AS tier, coalesce(candidates, 0) AS candidates, match_id FROM part p LEFT JOIN h ON p.p_partkey = h.p_partkey""")
+def verified_match(spark, d):
+    """Parts of one brand and size that share a word; the pairs are those of small groups."""
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size", F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ").alias("w"))
+    found = matching.tiered_match(p, p.withColumnRenamed("p_partkey", "k"), "p_partkey", "k", [("brand_size", 85, ["p_brand", "p_size"])], F.arrays_overlap("l.w", "r.w"), itself=True)
+    return found.select("p_partkey", "tier", "candidates", "match_id")
+
+
+@query("""SELECT p_partkey, CASE WHEN regexp_extract(code, '^ *([A-Z]+)', 1) IN ('EC', 'PR') THEN 'usable' WHEN regexp_extract(code, '^ *([A-Z]+)', 1) = 'ST' THEN 'review' WHEN regexp_extract(code, '^ *([A-Z]+)', 1) IN ('', 'SM') THEN 'noise' ELSE 'unsupported' END AS class,
+p_brand <> 'Brand#1' AND p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') AND NOT starts_with(p_size::VARCHAR, '1') AND NOT starts_with(p_size::VARCHAR, '49') AS elsewhere,
+CASE WHEN p_name LIKE '%ring%' THEN 'mixed' WHEN p_name LIKE '%bolt%' THEN 'outer' WHEN p_name LIKE '%red%' THEN 'inner' END AS mode,
+CASE p_type WHEN 'PROMO' THEN 'offer' WHEN 'SMALL' THEN CASE WHEN p_name LIKE '%ring%' THEN 'small mixed' WHEN p_name NOT LIKE '%bolt%' AND p_name LIKE '%red%' THEN 'small inner' END END AS pattern
+FROM (SELECT *, CASE WHEN p_partkey % 7 = 0 THEN p_size || p_type ELSE ' ' || upper(substr(p_type, 1, 2)) || '-' || p_size END AS code FROM part)""")
+def coded_parts(spark, d):
+    """Classes by the prefix of a code, regions elsewhere, a mode out of a text, and what depends on the mode."""
+    p = table(spark, d, "part")
+    code = F.when(F.col("p_partkey") % 7 == 0, F.concat(F.col("p_size").cast("string"), "p_type")).otherwise(F.concat(F.lit(" "), F.lower(F.substring("p_type", 1, 2)), F.lit("-"), F.col("p_size").cast("string")))
+    mode = rules.regime(F.col("p_name"), [("ring", "mixed"), ("bolt", "outer"), ("red", "inner")])
+    pattern = rules.by_regime(F.col("p_type"), {"PROMO": "offer", "SMALL": "by_regime", "LARGE": "by_regime"}, mode, {"SMALL": {"mixed": "small mixed", "inner": "small inner"}})
+    away = rules.elsewhere(F.lower("p_brand"), F.col("p_size").cast("string"), "brand#1", ["Brand#1", "Brand#2", "Brand#3"], ["1", "49"])
+    return p.select("p_partkey", rules.prefix_class(code, ["EC", "pr"], ["ST"], ["SM"]).alias("class"), away.alias("elsewhere"), mode.alias("mode"), pattern.alias("pattern"))

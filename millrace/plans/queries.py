@@ -206,7 +206,7 @@ def tiered_match(spark, d):
     """Every part against every other one. Sharing a name and brand, or a brand and size, with several is doubtful; the last tier is that anyway."""
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     tiers = [("name_brand", 95, ["p_name", "p_brand"]), ("brand_size", 85, ["p_brand", "p_size"]), ("name_size", 40, ["p_name", "p_size"])]
-    return matching.tiered_match(p, p.withColumnRenamed("p_partkey", "k"), "p_partkey", "k", tiers, F.col("l.p_partkey") != F.col("r.k"), {"name_brand": 60, "brand_size": 60})
+    return matching.tiered_match(p, p.withColumnRenamed("p_partkey", "k"), "p_partkey", "k", tiers, ambiguous={"name_brand": 60, "brand_size": 60}, itself=True)
 
 
 _ASKED = "a(ask, a, b) AS (VALUES (1, 're', 'wid'), (2, 'o', 'bo'), (3, 'ld', 'late'), (4, 'xx', 'y'), (5, 'ring', 'red'), (6, 'o', 'x'), (7, '', 'q'))"
@@ -221,14 +221,22 @@ def ordered_like_match(spark, d):
     return matching.ordered_contains(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", _asked(spark), "ask", ["a", "b"]).select("ask", "p_partkey")
 
 
-@query("""WITH s(k, place, t) AS (SELECT c_custkey, 1, p_partkey FROM customer JOIN part ON c_custkey % 700 = p_partkey % 700 AND p_size > 40 UNION ALL SELECT c_custkey, 2, p_partkey FROM customer JOIN part ON c_custkey % 500 = p_partkey % 500 AND p_size < 10),
-g AS (SELECT k, place, count(DISTINCT t) AS matches, min(t) AS t FROM s GROUP BY ALL HAVING count(DISTINCT t) <= 5), b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY matches > 1, place) AS rn FROM g)
-SELECT k, CASE WHEN matches = 1 THEN 'definitive' ELSE 'ambiguous' END AS status, place, matches, CASE WHEN matches = 1 THEN t END AS match FROM b WHERE rn = 1""")
+_RESOLVED = """c AS (SELECT c_custkey AS k, 0 AS o, c_nationkey AS nation, floor(c_acctbal / 400)::BIGINT AS fine, floor(c_acctbal / 2500)::BIGINT AS rough FROM customer
+  UNION ALL SELECT c_custkey, 1, (c_nationkey + 1) % 25, floor(c_acctbal / 400)::BIGINT, floor(c_acctbal / 2500)::BIGINT FROM customer WHERE c_mktsegment <> 'BUILDING'),
+t AS (SELECT s_suppkey AS t, s_nationkey AS nation, floor(s_acctbal / 400)::BIGINT AS fine, floor(s_acctbal / 2500)::BIGINT AS rough FROM supplier),
+s AS (SELECT k, o, 1 AS place, t FROM c JOIN t USING (nation, fine) UNION ALL SELECT k, o, 2, t FROM c JOIN t USING (nation, rough) UNION ALL SELECT k, o, 3, t FROM c JOIN t USING (nation)),
+g AS (SELECT k, o, place, count(DISTINCT t) AS matches, min(t) AS t FROM s GROUP BY ALL HAVING count(DISTINCT t) <= 5), b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY matches > 1, o, place) AS rn FROM g)"""
+
+
+@query(f"""WITH {_RESOLVED} SELECT k, CASE WHEN matches = 1 THEN 'definitive' ELSE 'ambiguous' END AS status, o AS "order", place, matches, CASE WHEN matches = 1 THEN t END AS match FROM b WHERE rn = 1""")
 def strategy_resolve(spark, d):
-    c, p = table(spark, d, "customer").select("c_custkey"), table(spark, d, "part").select("p_partkey", "p_size")
-    one = c.withColumn("m", F.col("c_custkey") % 700).join(p.where("p_size > 40").withColumn("m", F.col("p_partkey") % 700), "m").select(F.col("c_custkey").alias("k"), F.lit(1).alias("place"), F.col("p_partkey").alias("t"))
-    two = c.withColumn("m", F.col("c_custkey") % 500).join(p.where("p_size < 10").withColumn("m", F.col("p_partkey") % 500), "m").select(F.col("c_custkey").alias("k"), F.lit(2).alias("place"), F.col("p_partkey").alias("t"))
-    return matching.resolve(one.union(two), "k", "place", "t")
+    """A supplier for every customer: of the nation and a like balance, else a roughly like one, else of the nation; then the same with the next nation, but for one segment."""
+    steps = lambda c: [F.floor(F.col(c) / 400).alias("fine"), F.floor(F.col(c) / 2500).alias("rough")]
+    c = table(spark, d, "customer")
+    one = c.select(F.col("c_custkey").alias("k"), F.lit(0).alias("o"), F.col("c_nationkey").alias("nation"), *steps("c_acctbal"))
+    two = c.where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("k"), F.lit(1).alias("o"), ((F.col("c_nationkey") + 1) % 25).alias("nation"), *steps("c_acctbal"))
+    t = table(spark, d, "supplier").select(F.col("s_suppkey").alias("t"), F.col("s_nationkey").alias("nation"), *steps("s_acctbal"))
+    return matching.resolve_by(one.union(two), t, "k", "t", [["nation", "fine"], ["nation", "rough"], ["nation"]], order="o")
 
 
 @query("""WITH p AS (SELECT p_name || '|' || p_size AS n, p_partkey FROM part), u AS (SELECT n, min(p_partkey) AS p_partkey FROM p GROUP BY n HAVING count(*) = 1) SELECT n, u.p_partkey FROM (SELECT DISTINCT n FROM p) LEFT JOIN u USING (n)""")
@@ -244,9 +252,9 @@ SELECT k, p_partkey, overlap::INTEGER AS overlap, extra::INTEGER AS extra, cover
 def name_overlap(spark, d):
     """Every part against all others of its brand and size."""
     p = table(spark, d, "part")
-    w = p.select(F.col("p_partkey").alias("k"), "p_brand", "p_size", F.split("p_name", " ").alias("wanted"))
-    c = p.select("p_partkey", "p_brand", "p_size", F.array_distinct(F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ")).alias("offered"))
-    return matching.best_overlap(w.join(c, ["p_brand", "p_size"]).where("k <> p_partkey"), "k", "p_partkey", "wanted", "offered")
+    w = p.select(F.col("p_partkey").alias("k"), "p_brand", "p_size", F.split("p_name", " ").alias("words"))
+    c = p.select("p_partkey", "p_brand", "p_size", F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ").alias("words"))
+    return matching.best_cover(w, c, "k", "p_partkey", "words", ["p_brand", "p_size"], itself=True)
 
 
 @query("SELECT DISTINCT l_partkey AS missing FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <> 5)")
