@@ -361,4 +361,4 @@ def window_counts(spark, d):
     return table(spark, d, "events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), "event_type", "n")
 
 
-from . import entities, more, pages, timelines  # noqa: E402, F401  (they add their queries)
+from . import entities, more, pages, records, timelines  # noqa: E402, F401  (they add their queries)

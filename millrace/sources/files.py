@@ -46,6 +46,27 @@ def csv(spark: SparkSession, path: str, schema: StructType, encoding: str = "UTF
     return rows.withColumns({c: F.nullif(F.trim(c), F.lit("")) for c in texts})
 
 
+def csv_of_any_encoding(spark: SparkSession, path: str, schema: StructType, fallback: str = "ISO-8859-1") -> DataFrame:
+    """CSV files with a header line that may be UTF-8 or not: a file with a line that is not is read by ``fallback``, whole.
+
+    Header names are stripped and may stand in any order; all files must have the same header, and columns that ``schema`` does not name are left
+    out. Values are stripped, blank ones null, what does not fit its type is null. A value cannot hold a line's end. Columns: schema, and ``__file``.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"))
+    known = lines.groupBy("__file").agg(F.bool_and(F.is_valid_utf8("value")).alias("__utf8"))
+    decoded = F.when(F.col("__utf8"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), fallback))
+    text = lines.join(known, "__file").select("__file", F.regexp_replace(decoded, "^\ufeff|\r$", "").alias("value"))
+    first = spark.read.text(path).head(1)
+    if not first:
+        return spark.createDataFrame([], schema.add("__file", "string"))
+    header = first[0].value.lstrip("\ufeff").rstrip("\r")
+    names = [n.strip().strip('"').strip() for n in header.split(",")]
+    raw = ", ".join(f"`{n}` string" for n in names)
+    rows = text.where((F.col("value") != header) & (F.trim("value") != "")).select("__file", F.from_csv("value", F.lit(raw), {"escape": '"'}).alias("r"))
+    clean = lambda f: F.nullif(strip(F.col(f"r.`{f.name}`")), F.lit("")).try_cast(f.dataType).alias(f.name)
+    return rows.select(*[clean(f) for f in schema if f.name in names], *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in names], "__file").select(*schema.names, "__file")
+
+
 def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
 
