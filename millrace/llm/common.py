@@ -85,6 +85,20 @@ def weighed_join(big: DataFrame, small: DataFrame, keys: list[str], weight: str)
     return marked.where("__hot").drop("__hot").unionByName(cool)
 
 
+def each_of(df: DataFrame, times: str, nth: str, chunk: int = 10_000) -> DataFrame:
+    """A row of ``df`` as often as its column ``times`` says, numbered from 0 in column ``nth``; without ``times``.
+
+    Rows that stand for over ``chunk`` are dealt out in chunks first, so one that fills a third of a table is no single task's work.
+    """
+    zero, rest = F.lit(0).cast("long"), [f"`{c}`" for c in df.columns if c != times]
+    few = df.where(F.col(times) <= chunk).select(*rest, F.explode(F.sequence(zero, F.col(times) - 1)).alias(nth))
+    step = F.explode(F.sequence(zero, F.col(times) - 1, F.lit(chunk).cast("long"))).alias("__step")
+    many = df.where(F.col(times) > chunk).select("*", step)
+    many = many.repartition(*[F.col(c) for c in rest], "__step")
+    last = F.least(F.col("__step") + chunk, F.col(times)) - 1
+    return few.unionByName(many.select(*rest, F.explode(F.sequence(F.col("__step"), last)).alias(nth)))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list by alternating large-star and small-star steps.
 

@@ -1,6 +1,6 @@
 """Operator 2, sharding: a Feistel permutation with cycle walking over global row numbers.
 
-Rows get dense global row numbers 0..N-1, in the order of a hash bucket of the id and then of the row's key columns. A Feistel
+Rows get dense global row numbers 0..N-1, in the order of a hash bucket of all key columns and then of those columns. A Feistel
 network over the grid ``a * b`` (``a = ceil(sqrt N)``, ``b = ceil(N / a)``) permutes the numbers; the few numbers of the grid
 at or above N are walked along their cycle until they fall below N. ``shard = position mod shards`` and
 ``slot = position div shards``: shard counts differ by one at most, slots have no gaps, and both can be computed from the row
@@ -8,7 +8,7 @@ number, N and the seed alone. Only DataFrame expressions are used.
 
 Numbering never sorts everything in one task: each bucket numbers its own rows by a running sum, and buckets are offset by a
 prefix sum over bucket totals (one row for each bucket). Rows that repeat all key columns are combined before the shuffle and
-spread out again afterwards, so a repeated row cannot fill a bucket.
+dealt out again in chunks afterwards, so neither a repeated row nor an id that many rows share (or lack) can fill a bucket or a task.
 
 Defined results: empty table, no rows; null text has no bytes (its crc32 is that of the empty text); null ids are numbered like
 any other key; rows that repeat id and text get positions of their own.
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut
+from .common import cut, each_of, sized_join
 
 ROUNDS = 6
 #: Rows for which one more bucket is made, and the least number of buckets.
@@ -57,26 +57,26 @@ def permuted(number: Column, rows: int, seed: int = 7) -> Column:
     return F.when(last < rows, last).otherwise(F.raise_error(F.lit("a walk did not end")).cast("long"))
 
 
-def numbered(df: DataFrame, keys: list[str], bucket_by: str) -> tuple[DataFrame, int]:
+def numbered(df: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
     """``keys`` of each row of ``df`` with a dense number ``row_number`` from 0, and the number of rows."""
     counted = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")), "numbered")
     rows = counted.agg(F.sum("times")).first()[0] or 0
     buckets = max(LEAST_BUCKETS, rows // BUCKET_ROWS)
-    counted = counted.withColumn("bucket", F.pmod(F.xxhash64(bucket_by), F.lit(buckets)).cast("int"))
+    counted = counted.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     totals = counted.groupBy("bucket").agg(F.sum("times").alias("total"))
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select("bucket", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
     inside = W.partitionBy("bucket").orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
     placed = counted.withColumn("before", F.coalesce(F.sum("times").over(inside), F.lit(0)))
-    placed = placed.join(F.broadcast(offsets), "bucket")  # one row for each bucket: rows / BUCKET_ROWS at most
-    each = placed.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
-    return each.select(*keys, (F.col("offset") + F.col("before") + F.col("nth")).alias("row_number")), rows
+    placed = sized_join(placed, offsets, ["bucket"], rows=buckets)
+    each = each_of(placed.select(*keys, (F.col("offset") + F.col("before")).alias("first"), "times"), "times", "nth")
+    return each.select(*keys, (F.col("first") + F.col("nth")).alias("row_number")), rows
 
 
 def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 7) -> DataFrame:
     """One row for each row of ``docs``: id, size, text_crc32, law, shard, slot, grown_shard (null under this law)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    narrow = docs.select(F.col(id_col), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    rows, n = numbered(narrow, [id_col, "size", "text_crc32"], id_col)
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    narrow = docs.select(F.col(f"`{id_col}`").alias("__id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    rows, n = numbered(narrow, ["__id", "size", "text_crc32"])
     at = rows.withColumn("position", permuted(F.col("row_number"), n, seed))
-    return at.select(id_col, "size", "text_crc32", F.lit("rows").alias("law"), (F.col("position") % shards).cast("int").alias("shard"), ((F.col("position") - F.col("position") % shards) / shards).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return at.select(F.col("__id").alias(id_col), "size", "text_crc32", F.lit("rows").alias("law"), (F.col("position") % shards).cast("int").alias("shard"), ((F.col("position") - F.col("position") % shards) / shards).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

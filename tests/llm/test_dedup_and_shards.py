@@ -75,3 +75,16 @@ def test_the_shuffle_is_reproducible(spark):
     a, b = (sorted(map(str, sharding.shard(data.docs(spark).repartition(n), 5).collect())) for n in (1, 6))
     assert a == b
     assert sharding.shard(data.empty(spark), 3).count() == 0
+
+
+def test_repeated_rows_and_ids_that_many_share_are_dealt_out(spark):
+    from millrace.llm.common import each_of
+
+    df = spark.createDataFrame([("a", 25), ("b", 1), ("c", 10), (None, 11)], "k string, times long")
+    got = Counter((r.k, r.nth) for r in each_of(df, "times", "nth", 10).collect())
+    assert got == Counter((k, i) for k, n in (("a", 25), ("b", 1), ("c", 10), (None, 11)) for i in range(n))
+    same = spark.range(30_000).select(sharding.F.lit(None).cast("long").alias("doc_id"), sharding.F.concat(sharding.F.lit("t"), sharding.F.col("id") % 2000).alias("text"))
+    rows, n = sharding.numbered(same.withColumn("size", sharding.F.length("text")), ["doc_id", "text"])
+    assert n == 30_000 and rows.select("row_number").distinct().count() == n and rows.agg(sharding.F.max("row_number")).first()[0] == n - 1
+    columns = spark.createDataFrame([(1, "x"), (2, "y")], "`doc.id` long, `a.text` string")
+    assert sharding.shard(columns, 2, "doc.id", "a.text").count() == 2 == exact_dedup.decisions(columns, "doc.id", "a.text").count()
