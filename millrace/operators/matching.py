@@ -11,6 +11,10 @@ from pyspark.sql import Window as W
 from .loose import contained_sets
 
 
+#: Keys that names are dealt out to for what is looked for in all of them.
+PLACES = 64
+
+
 def enrich(rows: DataFrame, dimension: DataFrame, key: str, dimension_key: str) -> DataFrame:
     """Left join to a dimension; ``enriched`` tells whether there was a row. A dimension under Spark's threshold is broadcast."""
     found = dimension.withColumn("enriched", F.lit(True))
@@ -67,13 +71,15 @@ def ordered_contains(names: DataFrame, name: str, asked: DataFrame, asked_id: st
 
     A hit has every n-gram of every part, so the pairs come from an equi-join on one n-gram of the asked row: the one that the
     fewest names have. An asked row whose parts are all shorter goes by its rarest character, and one whose parts are all empty
-    is looked for in every name that is not null. A null part has no hit.
+    meets every name that is not null, over PLACES keys that the names are dealt out to. A null part has no hit.
     """
     def posted(c: Column) -> Column:
-        return F.array_union(F.array_union(_grams(c, gram), _grams(c, 1)), F.array(F.lit("")))
+        place = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(c), F.lit(PLACES)).cast("string"))
+        return F.array_union(F.array_union(_grams(c, gram), _grams(c, 1)), F.array(place))
 
     lists = [F.flatten(F.array(*[_grams(F.col(p), n) for p in parts])) for n in (gram, 1)]
-    best = F.when(F.size(lists[0]) > 0, lists[0]).when(F.size(lists[1]) > 0, lists[1]).otherwise(F.array(F.lit("")))
+    best = F.when(F.size(lists[0]) > 0, lists[0]).when(F.size(lists[1]) > 0, lists[1]).otherwise(F.array().cast("array<string>"))
+    everywhere = asked.where(F.size(best) == 0).where(" and ".join(f"`{p}` is not null" for p in parts)).select(asked_id, F.explode(F.array(*[F.lit(f"\x00{i}") for i in range(PLACES)])).alias("gram"))
     wanted = asked.select(asked_id, F.explode(F.array_distinct(best)).alias("gram"))
     grams = names.select(F.explode(posted(F.col(name))).alias("gram")).join(wanted.select("gram").distinct(), "gram", "left_semi")
     frequency = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
@@ -81,7 +87,7 @@ def ordered_contains(names: DataFrame, name: str, asked: DataFrame, asked_id: st
     rarest = wanted.join(frequency, "gram", "left").groupBy(asked_id).agg(F.min_by("gram", F.struct(F.coalesce("names", F.lit(0)), "gram")).alias("gram"))
     quoted = [F.regexp_replace(F.col(p), r"([\\%_])", r"\\$1") for p in parts]
     pattern = F.concat(F.lit("%"), F.concat_ws("%", *quoted), F.lit("%"))
-    probes = asked.withColumn("__pattern", pattern).join(rarest, asked_id)
+    probes = asked.withColumn("__pattern", pattern).join(rarest.union(everywhere), asked_id)
     return names.withColumn("gram", F.explode(posted(F.col(name)))).join(probes, "gram").where(F.like(F.col(name), F.col("__pattern"))).drop("gram", "__pattern")
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import slug
+
 
 def first_match(c: Column, rules: list[tuple[str, str]], default: str) -> Column:
     """The label of the first (pattern, label) whose regular expression is found."""
@@ -152,3 +156,47 @@ def by_regime(name: Column, table: dict[str, str], mode: Column, variants: dict[
     found = lookup(table, name)
     inner = F.coalesce(*[F.when(name == n, lookup(pairs, mode)) for n, pairs in variants.items()], F.lit(None).cast("string"))
     return F.when(found == sentinel, inner).otherwise(found)
+
+
+def normalized(raw: Column, exact: dict[str, str], synonyms: dict[str, tuple[str, int]], registry: dict[str, list[str]]) -> Column:
+    """struct<value, confidence, reason, review> of a raw label by the first layer that knows it.
+
+    The layers: ``exact`` (as it stands, 100), ``synonyms`` of the user (value and confidence, whatever the case), the keys of ``registry`` (100), their
+    abbreviations (100), and the slugs of both (95). What none knows has no value, confidence 0 and is for review, and so are blank labels.
+    """
+    text = F.trim(raw)
+    upper, form = F.upper(text), slug(raw)
+
+    def layer(table: dict[str, tuple[str, int]], c: Column, reason: str) -> Column:
+        if not table:
+            return F.lit(None).cast("struct<value:string,confidence:int,reason:string,review:boolean>")
+        hit = F.create_map(*[x for k, (v, n) in table.items() for x in (F.lit(k), F.struct(F.lit(v).alias("value"), F.lit(n).alias("confidence"), F.lit(reason).alias("reason"), F.lit(False).alias("review")))])[c]
+        return hit
+
+    keys = {k.upper(): (k, 100) for k in registry}
+    short = {a.upper(): (k, 100) for k, of in reversed(registry.items()) for a in of}
+    slugs = {re.sub("[^A-Z0-9]+", "_", a.upper()).strip("_"): (k, 95) for k, of in reversed(registry.items()) for a in [*of, k]}
+    none = lambda why: F.struct(F.lit(None).cast("string").alias("value"), F.lit(0).alias("confidence"), F.lit(why).alias("reason"), F.lit(True).alias("review"))
+    found = F.coalesce(
+        layer({k: (v, 100) for k, v in exact.items()}, text, "exact"), layer({k.strip().upper(): v for k, v in synonyms.items()}, upper, "synonym"), layer(keys, upper, "key"), layer(short, upper, "abbreviation"), layer(slugs, form, "slug"), none("unknown")
+    )
+    return F.when(F.coalesce(text, F.lit("")) == "", none("empty")).otherwise(found)
+
+
+def derived(rules: list[tuple[str, Column | Callable[[dict[str, Column]], Column], list[str]]]) -> Column:
+    """Sorted names of the flags that hold. A rule is a name, its condition (a column, or a function of the flags before it) and flags that hold with it."""
+    held: dict[str, Column] = {}
+    for name, condition, implied in rules:
+        c = F.coalesce(condition(held) if callable(condition) and not isinstance(condition, Column) else condition, F.lit(False))
+        for n in (name, *implied):
+            held[n] = held[n] | c if n in held else c
+    return F.array_sort(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in held.items()])))
+
+
+def with_history(history: Column, status: Column, reasons: Column, run: Column) -> Column:
+    """A history (array<struct<run, status, reasons>>) with an entry for this run, if status or reasons are others than those of the last entry."""
+    entry = F.struct(run.alias("run"), status.alias("status"), reasons.alias("reasons"))
+    old = F.coalesce(history, F.array().cast("array<struct<run:date,status:string,reasons:array<string>>>"))
+    last = F.when(F.size(old) > 0, F.element_at(old, -1))
+    same = F.coalesce(last["status"].eqNullSafe(status) & last["reasons"].eqNullSafe(reasons), F.lit(False)) & last.isNotNull()
+    return F.when(same, old).otherwise(F.concat(old, F.array(entry)))

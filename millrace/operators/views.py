@@ -56,3 +56,33 @@ def canned(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
 def as_json(df: DataFrame) -> Column:
     """A row as JSON with its columns in the order of their names, nulls included, so equal rows give equal bytes."""
     return F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
+
+
+def with_firsts(df: DataFrame, firsts: dict[str, tuple[str, str]]) -> DataFrame:
+    """``df`` with columns for a field of the first element of an array of structs: new name: (array, field). Null where the array is null or empty."""
+    return df.withColumns({new: F.get(F.col(array), F.lit(0))[field] for new, (array, field) in firsts.items()})
+
+
+def depth_or(depth: Column, items: Column) -> Column:
+    """A count that is given and not 0, else how many different items there are."""
+    return F.coalesce(F.nullif(depth.cast("int"), F.lit(0)), F.size(F.array_distinct(F.coalesce(items, F.array().cast("array<string>")))))
+
+
+def decorated(df: DataFrame, history: DataFrame, key: str, today: Column) -> DataFrame:
+    """``df`` with what the state of ``snapshots.upsert`` says of its key: is_new, is_updated (seen today, with another value than before), days_known and change. Without a history, a row is new."""
+    rows = df.join(history.select(key, "first_seen", "last_seen", "delta"), key, "left")
+    new = F.coalesce(F.col("first_seen") == today, F.lit(True))
+    out = rows.withColumns({"is_new": new, "is_updated": ~new & F.coalesce((F.col("last_seen") == today) & (F.col("delta") != 0), F.lit(False)), "days_known": F.coalesce(F.date_diff(today, "first_seen"), F.lit(0)), "change": F.coalesce("delta", F.lit(0))})
+    return out.drop("first_seen", "last_seen", "delta")
+
+
+def seen_by(df: DataFrame, role: str, hidden: dict[str, Column]) -> DataFrame:
+    """What a role sees: all rows but those that ``hidden`` has a condition for. A role that is not named sees all; a null condition hides nothing."""
+    return df.where(~F.coalesce(hidden[role], F.lit(False))) if role in hidden else df
+
+
+def best_first(df: DataFrame, key: str, score: str, tie: str) -> DataFrame:
+    """The best row of each key (see ``snapshots.best_per_key``), the highest score first, nulls last, ties by ``tie``."""
+    from .snapshots import best_per_key
+
+    return best_per_key(df, key, score, tie).orderBy(F.col(score).desc_nulls_last(), tie)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import ledger, records
+from ..operators import ledger, records, rules, snapshots, views
 from .queries import query, table
 
 TYPES = {" Click": "INTERACTION", "view": "INTERACTION", "purchase": "TRANSACTION"}
@@ -113,11 +113,85 @@ SELECT c_custkey, score, concat_ws('|', 'base', CASE WHEN a THEN 'rich' END, CAS
 CASE WHEN score >= 80 THEN 'halt' WHEN score >= 40 THEN 'look' ELSE 'pass' END AS band, substr(sha1(c_custkey || '|' || CASE WHEN score >= 80 THEN 'halt' WHEN score >= 40 THEN 'look' ELSE 'pass' END), 1, 16) AS id FROM s""")
 def scored_reasons(spark, d):
     """A score whose reasons add up to it, a band in which it halts, and an id that both make."""
-    from ..operators import rules
-
     c = table(spark, d, "customer")
     base = F.least(F.lit(60.0), F.greatest(F.lit(0.0), F.col("c_acctbal") / 100))
     held = ledger.with_reasons({"rich": (F.col("c_acctbal") > 5000, 20), "builder": (F.col("c_mktsegment") == "BUILDING", 35.5), "far": (F.col("c_nationkey") % 5 == 0, -50)}, base)
     rows = c.select("c_custkey", held.alias("h")).select("c_custkey", F.round("h.score", 6).alias("score"), F.array_join(F.transform("h.reasons", lambda r: r["reason"]), "|").alias("reasons"), ledger.adds_up(F.col("h.score"), F.col("h.reasons")).alias("whole"))
     rows = rows.withColumn("band", rules.band(F.col("score"), [(80, "halt"), (40, "look")], "pass"))
     return rows.withColumn("id", S.stable_id(F.col("c_custkey"), F.col("band")))
+
+
+_LABEL = """CASE p_partkey % 9 WHEN 0 THEN 'Eco' WHEN 1 THEN 'eco' WHEN 2 THEN ' my ' || lower(p_type) WHEN 3 THEN lower(p_type) WHEN 4 THEN substr(p_type, 1, 3) WHEN 5 THEN substr(p_type, 1, 2) || ' -' || substr(p_type, 3, 1) || '.' WHEN 6 THEN '*' || p_type || '!' WHEN 7 THEN '  ' ELSE p_name END"""
+
+
+@query(f"""WITH r AS (SELECT p_partkey, trim({_LABEL}) AS t FROM part), s AS (SELECT *, upper(t) AS u, trim(regexp_replace(upper(t), '[^A-Z0-9]+', '_', 'g'), '_') AS f FROM r),
+k(k, a) AS (VALUES ('ECONOMY', 'ECO'), ('PROMO', 'PRO'), ('STANDARD', 'STA'), ('SMALL', 'SMA'), ('MEDIUM', 'ME_D'))
+SELECT p_partkey, CASE WHEN t = '' THEN 'empty' WHEN t = 'Eco' THEN 'exact' WHEN u IN ('MY SMALL', 'MY LARGE') THEN 'synonym' WHEN u = k.k THEN 'key' WHEN u = b.a THEN 'abbreviation' WHEN c.k IS NOT NULL THEN 'slug' ELSE 'unknown' END AS reason,
+CASE WHEN t = '' THEN NULL WHEN t = 'Eco' THEN 'cheap' WHEN u = 'MY SMALL' THEN 'SMALL' WHEN u = 'MY LARGE' THEN 'big' WHEN u = k.k THEN k.k WHEN u = b.a THEN b.k ELSE c.k END AS value,
+CASE WHEN t = '' THEN 0 WHEN t = 'Eco' THEN 100 WHEN u = 'MY SMALL' THEN 90 WHEN u = 'MY LARGE' THEN 60 WHEN u = k.k OR u = b.a THEN 100 WHEN c.k IS NOT NULL THEN 95 ELSE 0 END AS confidence
+FROM s LEFT JOIN k ON u = k.k LEFT JOIN k b ON u = b.a LEFT JOIN k c ON f = c.k OR f = c.a""")
+def normalized_labels(spark, d):
+    """Part types as people write them, through all layers."""
+    hit = rules.normalized(F.col("raw"), {"Eco": "cheap"}, {"my small": ("SMALL", 90), "My large": ("big", 60)}, {"ECONOMY": ["eco"], "PROMO": ["Pro"], "STANDARD": ["STA"], "SMALL": ["sma"], "MEDIUM": ["me-d"]})
+    return table(spark, d, "part").select("p_partkey", F.expr(_LABEL).alias("raw")).select("p_partkey", hit.alias("h")).select("p_partkey", "h.reason", "h.value", "h.confidence")
+
+
+@query("""WITH f AS (SELECT c_custkey, c_acctbal, c_nationkey <> 3 AS away, c_mktsegment = 'BUILDING' AS firm, c_acctbal > 8000 AS rich FROM customer),
+a AS (SELECT *, away OR firm AND rich AS absent FROM f)
+SELECT c_custkey, concat_ws('|', CASE WHEN absent THEN 'absent' END, CASE WHEN away THEN 'away' END, CASE WHEN absent AND NOT rich AND c_acctbal < 0 THEN 'empty' END, CASE WHEN firm THEN 'firm' END, CASE WHEN rich THEN 'rich' END) AS flags FROM a""")
+def derived_flags(spark, d):
+    """Flags that bring others with them or build on them."""
+    rules_of = [
+        ("away", F.col("c_nationkey") != 3, ["absent"]),
+        ("firm", F.col("c_mktsegment") == "BUILDING", []),
+        ("rich", F.col("c_acctbal") > 8000, []),
+        ("absent", lambda held: held["firm"] & held["rich"], []),
+        ("empty", lambda held: held["absent"] & ~held["rich"] & (F.col("c_acctbal") < 0), []),
+    ]
+    return table(spark, d, "customer").select("c_custkey", F.array_join(rules.derived(rules_of), "|").alias("flags"))
+
+
+@query("""WITH h AS (SELECT o_custkey, min(o_orderdate)::DATE AS first_seen, max(o_orderdate)::DATE AS last_seen, max(o_orderkey) - min(o_orderkey) AS delta, string_agg(DISTINCT o_orderpriority, '|' ORDER BY o_orderpriority) AS kinds, count(DISTINCT o_orderpriority) AS n,
+arg_min(o_orderstatus, o_orderkey) AS lead, count(*) FILTER (o_orderstatus = 'F') AS depth FROM orders GROUP BY 1), t AS (SELECT DATE '2000-06-01' AS day)
+SELECT c_custkey, coalesce(first_seen = day, true) AS is_new, coalesce(first_seen <> day AND last_seen = day AND delta <> 0, false) AS is_updated, coalesce(date_diff('day', first_seen, day), 0) AS days_known, coalesce(delta, 0) AS change, coalesce(nullif(depth, 0), n, 0) AS depth, lead, coalesce(kinds, '') AS kinds
+FROM customer LEFT JOIN h ON o_custkey = c_custkey, t WHERE NOT coalesce(lead = 'P', false)""")
+def export_rows(spark, d):
+    """Customers with what their history says, as a role that does not see pending ones gets them."""
+    o, day = table(spark, d, "orders"), F.lit("2000-06-01").cast("date")
+    history = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min(F.to_date("o_orderdate")).alias("first_seen"), F.max(F.to_date("o_orderdate")).alias("last_seen"), (F.max("o_orderkey") - F.min("o_orderkey")).alias("delta"))
+    lists = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_sort(F.collect_set("o_orderpriority")).alias("kinds"), F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("orders"), F.count_if(F.col("o_orderstatus") == "F").alias("filled"))
+    rows = views.decorated(table(spark, d, "customer").select("c_custkey").join(lists, "c_custkey", "left"), history, "c_custkey", day)
+    rows = views.with_firsts(rows, {"lead": ("orders", "o_orderstatus")}).withColumn("depth", views.depth_or(F.col("filled"), F.col("kinds")))
+    seen = views.seen_by(rows, "client", {"client": F.col("lead") == "P"})
+    return views.flat(seen.select("c_custkey", "is_new", "is_updated", "days_known", "change", "depth", "lead", F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds")))
+
+
+@query("""WITH r AS (SELECT o_custkey, date_trunc('year', o_orderdate)::DATE AS run, CASE WHEN max(o_totalprice) > 400000 THEN 'review' ELSE 'clear' END AS status, CASE WHEN max(o_totalprice) > 400000 THEN 'dear' ELSE '' END AS reasons FROM orders WHERE year(o_orderdate) IN (1996, 1997) GROUP BY ALL),
+a AS (SELECT * FROM r WHERE run = DATE '1996-01-01'), b AS (SELECT * FROM r WHERE run = DATE '1997-01-01')
+SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, concat_ws(';', a.run || ':' || a.status || ':' || a.reasons, CASE WHEN b.status IS NOT NULL AND (a.status IS NULL OR a.status <> b.status) THEN b.run || ':' || b.status || ':' || b.reasons END) AS history FROM a FULL OUTER JOIN b ON a.o_custkey = b.o_custkey""")
+def review_history(spark, d):
+    """Two yearly runs of a review; the second adds an entry only where it says something else."""
+    o = table(spark, d, "orders")
+
+    def run(year: int):
+        dear = F.max("o_totalprice") > 400000
+        of = o.where(F.year("o_orderdate") == year).groupBy("o_custkey").agg(F.when(dear, "review").otherwise("clear").alias("status"), F.when(dear, F.array(F.lit("dear"))).otherwise(F.array().cast("array<string>")).alias("reasons"))
+        return of.withColumn("run", F.lit(f"{year}-01-01").cast("date"))
+
+    none = F.lit(None).cast("array<struct<run:date,status:string,reasons:array<string>>>")
+    first = run(1996).select("o_custkey", rules.with_history(none, F.col("status"), F.col("reasons"), F.col("run")).alias("history"))
+    both = first.join(run(1997), "o_custkey", "full_outer")
+    history = F.when(F.col("run").isNull(), F.col("history")).otherwise(rules.with_history(F.col("history"), F.col("status"), F.col("reasons"), F.col("run")))
+    text = F.array_join(F.transform(history, lambda h: F.concat_ws(":", h["run"].cast("string"), h["status"], F.array_join(h["reasons"], ","))), ";")
+    return both.select("o_custkey", text.alias("history"))
+
+
+@query("""SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS rn FROM orders) WHERE rn = 1 ORDER BY o_totalprice DESC, o_orderkey""")
+def best_first(spark, d):
+    return views.best_first(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), "o_custkey", "o_totalprice", "o_orderkey")
+
+
+@query("""SELECT o_orderkey, o_orderdate::DATE AS first_seen FROM orders WHERE o_orderdate >= DATE '1998-06-01'""")
+def seen_since(spark, d):
+    state = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("first_seen"))
+    return snapshots.since(state, F.lit("1998-06-01").cast("date"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.snapshots import upsert
+from .state import BucketedState, history, keep_history
 
 
 def source(spark: SparkSession, path: str, schema: StructType, files: int | None = None) -> DataFrame:
@@ -37,21 +37,9 @@ def run_to_end(stream: DataFrame, name: str, checkpoint: str, mode: str = "compl
     return stream.sparkSession.table(name)
 
 
-def keep_state(batches: DataFrame, state_path: str, checkpoint: str, key: str, value: str, ordinal: str, run_date: str) -> None:
-    """Upsert every micro-batch into a keyed state under ``state_path``.
-
-    Each batch writes a new version folder from the one before, so a batch that runs again writes the same version again. Versions
-    before the last two are removed.
-    """
-    spark = batches.sparkSession
+def keep_state(batches: DataFrame, state_path: str, checkpoint: str, key: str, value: str, ordinal: str, run_date: str, buckets: int = 256) -> BucketedState:
+    """Upsert every micro-batch into a keyed state under ``state_path``, of which it rewrites the buckets that it touches; see ``state.BucketedState``."""
     kinds = {f.name: f.dataType.simpleString() for f in batches.schema}
-    empty = spark.createDataFrame([], f"{key} {kinds[key]}, first_seen date, last_seen date, current {kinds[value]}, previous {kinds[value]}, delta {kinds[value]}")
-
-    def apply(batch: DataFrame, number: int) -> None:
-        old = batch.sparkSession.read.schema(empty.schema).parquet(f"{state_path}/v{number - 1}") if number else empty
-        upsert(old, batch, key, value, F.lit(run_date).cast("date"), ordinal).write.mode("overwrite").parquet(f"{state_path}/v{number}")
-        if number > 1:
-            old_path = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/v{number - 2}")
-            old_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old_path, True)
-
-    batches.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    kept = history(state_path, key, kinds[key], kinds[value], buckets)
+    keep_history(batches, kept, checkpoint, value, ordinal, run_date)
+    return kept

@@ -126,10 +126,9 @@ def test_sessions_and_deduplication_of_a_stream(spark, landed):
 
 def test_state_of_a_stream_is_the_upsert_of_its_batches(spark, landed):
     rows, stream, at = landed
-    jobs.keep_state(stream(1), str(at / "state"), str(at / "cp"), "user_id", "value", "event_id", "2024-02-01")
-    last = max(int(p.name[1:]) for p in (at / "state").iterdir() if p.name.startswith("v"))
-    assert last == 2
-    got = spark.read.parquet(str(at / "state" / f"v{last}"))
+    kept = jobs.keep_state(stream(1), str(at / "state"), str(at / "cp"), "user_id", "value", "event_id", "2024-02-01", 4)
+    assert kept.manifest(spark, 3) is None
+    got = kept.read(spark, 2)
     assert got.count() == 5 and {str(r.first_seen) for r in got.collect()} == {"2024-02-01"}
 
 

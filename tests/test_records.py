@@ -142,3 +142,17 @@ def test_co_owners_are_tried_in_turn(spark):
     right = spark.createDataFrame([(10, "smith"), (11, "smith"), (12, "unique")] + [(20 + i, "many") for i in range(9)], "t int, name string")
     got = {r.k: (r.status, r.order, r.matches, r.match) for r in matching.resolve_by(left, right, "k", "t", [["name"]], order="o").collect()}
     assert got == {1: ("definitive", 1, 1, 12), 2: ("ambiguous", 0, 2, None), 3: ("ambiguous", 1, 2, None)}
+
+
+def test_a_partition_is_pulled_alone_and_globs_take_all_files(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"z{i % 3}") for i in range(30)], "id int, zone string")
+    files.write_partitioned(df, str(tmp_path / "p"), ["zone"])
+    pulled = spark.read.schema(df.schema).parquet(str(tmp_path / "p")).where("zone = 'z1'")
+    assert sorted(r.id for r in pulled.collect()) == list(range(1, 30, 3))
+    plan = pulled._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(zone" in plan and "DataFilters: []" in plan
+    for n in ("b", "a", "c"):
+        (tmp_path / f"{n}.jsonl").write_text('{"v": "%s"}\n' % n)
+    (tmp_path / "skip.txt").write_text("no")
+    rows = files.strict_jsonl(spark, str(tmp_path / "*.jsonl"), StructType().add("v", "string"))
+    assert sorted(r.v for r in rows.collect()) == ["a", "b", "c"]
