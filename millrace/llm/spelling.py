@@ -37,6 +37,8 @@ from .common import cut, sized_join
 DAMAGE, LETTERS, TIMES, MORE = 199, 6, 5, 5
 #: Words of a partition's trie.
 LIMIT = 4096
+#: Words of a task that repeats each for the frontier prefixes that it visits.
+SPREAD = 10_000
 #: Different words, and their letters, that a counting task holds before it hands them on; letters of a text from which its runs are not listed at once.
 HELD, HELD_LETTERS, LONG = 200_000, 1 << 24, 1 << 20
 _RUN = re.compile(r"[a-zÀ-ÿ]+")
@@ -151,7 +153,9 @@ def near_words(words: DataFrame, limit: int = LIMIT) -> DataFrame:
         return pa.table([pa.array(c, t) for c, t in zip(columns, [pa.string(), pa.int64()] * 2, strict=True)], ["a", "a_n", "b", "b_n"])
 
     inside = own.where("not alone").select("p", "word", "n").groupBy("p").applyInArrow(descend, "a string, a_n long, b string, b_n long")
-    visits = sized_join(words.select("word", "n", lengths(0, depth + 1).alias("k")).withColumn("v", F.substring("word", F.lit(1), F.col("k"))), pairs, ["v"])
+    # A few small rows become many: they are dealt out first.
+    spread = words.repartition(1 + words.count() // SPREAD, "word")
+    visits = sized_join(spread.select("word", "n", lengths(0, depth + 1).alias("k")).withColumn("v", F.substring("word", F.lit(1), F.col("k"))), pairs, ["v"])
     visits = visits.where("not startswith(word, p)").select("p", F.expr("substring(word, k + 1)").alias("rest"), F.col("word").alias("b"), F.col("n").alias("b_n"))
     across = own.join(visits, ["p", "rest"]).where("b < word").select(F.col("word").alias("a"), F.col("n").alias("a_n"), "b", "b_n")
     return inside.union(across)
