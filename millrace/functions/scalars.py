@@ -152,3 +152,13 @@ def found(c: Column, patterns: dict[str, str]) -> Column:
     """An array of struct<kind, value>: the first group of each pattern that is found, in order."""
     hits = [F.when(c.rlike(p), F.struct(F.lit(k).alias("kind"), F.regexp_extract(c, p, 1).alias("value"))) for k, p in patterns.items()]
     return F.array_compact(F.array(*hits))
+
+
+def entity_name(c: Column, forms: dict[str, str], noise: list[str] = ()) -> Column:
+    """A name as names are compared: upper case words of letters and digits, those of ``noise`` left out, and the longest phrase of ``forms`` that it ends with
+    in its short form, so ``Acme, L.L.C.`` and ``THE ACME limited liability company`` agree. Letters with points between them are one word."""
+    text = F.regexp_replace(F.upper(c), r"(?<=\b[A-Z])\.(?=[A-Z]\b)", "")
+    text = F.split(F.trim(F.regexp_replace(text, r"(?U)[^\p{Alnum}]+", " ")), " ")
+    text = F.array_join(F.filter(text, lambda w: ~w.isin([n.upper() for n in noise])), " ") if noise else F.array_join(text, " ")
+    ends = {long: rf"(^| )\Q{long.upper()}\E$" for long in sorted(forms, key=lambda f: (-len(f.split()), f))}
+    return F.coalesce(*[F.when(text.rlike(e), F.regexp_replace(text, e, f"$1{forms[long].upper()}")) for long, e in ends.items()], text)

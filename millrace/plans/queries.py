@@ -273,10 +273,16 @@ def html_extract(spark, d):
     return table(spark, d, "pages").select("page_id", F.nullif(F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1), F.lit("")).alias("title"), F.nullif(F.regexp_extract("html", '(?i)<html[^>]*lang="([a-z]+)"', 1), F.lit("")).alias("lang"), F.size(F.regexp_extract_all("html", F.lit(r'(?i)<a\s[^>]*href="([^"]*)"'), F.lit(1))).cast("bigint").alias("links"))
 
 
-@query("""SELECT doc_id, place - 1 AS place, block FROM (SELECT doc_id, unnest(b) AS block, generate_subscripts(b, 1) AS place FROM (SELECT doc_id, string_split(text, chr(10)) AS b FROM documents)) WHERE len(block) >= 40""")
+@query(r"""WITH l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i, len(ls) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
+s AS (SELECT *, sum(CASE WHEN i > 1 AND i < n AND regexp_full_match(line, '[A-Z][^.]{0,60}\.') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS place FROM l),
+b AS (SELECT doc_id, place, regexp_replace(string_agg(line, chr(10) ORDER BY i), '^[\s]+|[\s]+$', '', 'g') AS block FROM s GROUP BY ALL)
+SELECT doc_id, place::BIGINT AS place, block, CASE WHEN regexp_full_match(string_split(block, chr(10))[1], '[A-Z][^.]{0,60}\.') AND contains(block, chr(10)) THEN regexp_extract(block, '^([^.]*)\.', 1) END AS heading FROM b WHERE len(block) >= 200""")
 def text_split_explode(spark, d):
-    pieces = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "block"))
-    return pieces.where(F.length("block") >= 40).select("doc_id", F.col("place").cast("bigint").alias("place"), "block")
+    """Documents cut before lines of one short sentence, which are their headings."""
+    head = r"[A-Z][^.\n]{0,60}\.\n"
+    found = files.blocks_of(table(spark, d, "documents").select("doc_id", "text"), "text", rf"\n{head}", 200)
+    heading = F.when(F.col("block").rlike(f"^{head}"), F.regexp_extract("block", r"^([A-Z][^.\n]{0,60})\.\n", 1))
+    return found.select("doc_id", F.col("place").cast("bigint").alias("place"), "block", heading.alias("heading"))
 
 
 @query("""SELECT c_custkey, array_to_string(list_filter([CASE WHEN c_acctbal < 0 THEN 'debt' END, CASE WHEN n = 0 THEN 'idle' END, CASE WHEN n >= 15 THEN 'loyal' END, CASE WHEN c_acctbal > 9000 THEN 'rich' END], lambda x: x IS NOT NULL), '|') AS flags

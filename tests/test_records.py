@@ -156,3 +156,9 @@ def test_a_partition_is_pulled_alone_and_globs_take_all_files(spark, tmp_path):
     (tmp_path / "skip.txt").write_text("no")
     rows = files.strict_jsonl(spark, str(tmp_path / "*.jsonl"), StructType().add("v", "string"))
     assert sorted(r.v for r in rows.collect()) == ["a", "b", "c"]
+
+
+def test_entity_names(spark):
+    forms = {"limited liability company": "LLC", "company": "CO", "incorporated": "INC"}
+    got = [one(spark, S.entity_name(F.lit(n).cast("string"), forms, ["the"])) for n in ("Acme, L.L.C.", "THE ACME limited  liability company", "Bolt Company", "Company Bolt", "A.B. Incorporated.", "Company", "", None)]
+    assert got == ["ACME LLC", "ACME LLC", "BOLT CO", "COMPANY BOLT", "AB INC", "CO", "", None]
