@@ -129,6 +129,28 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.norm) AS text_sha256
 FROM n JOIN g ON n.norm = g.norm""",
+    "op5_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT *, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda b:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, 5 * i + 1, 5) AS BIGINT) >> b) % 32 AS INTEGER) + 1, 1)), '')), '') AS digest, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to FROM d""",
+    # An accepted stretch keeps a run of four tokens (13 with two substitutions), three (10 to 12), two (5 to 9 with one), or all: such runs propose, all places are compared.
+    "op10_decontamination": r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:[0-9a-z]|[^\x00-\x7F])+') AS t FROM documents),
+b AS MATERIALIZED (SELECT row_number() OVER () AS q, item_id, t, len(t) AS n, least(13, len(t)) AS w, CASE WHEN len(t) >= 13 THEN 4 WHEN len(t) >= 10 THEN 3 WHEN len(t) >= 5 THEN 2 ELSE len(t) END AS k
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:[0-9a-z]|[^\x00-\x7F])+') AS t FROM benchmark) WHERE len(t) > 0),
+g AS MATERIALIZED (SELECT q, k, p, array_to_string(t[p + 1:p + k], ' ') AS g FROM b, range(0, n - k + 1) AS s(p)),
+x AS MATERIALIZED (SELECT r, unnest(t) AS tok, generate_subscripts(t, 1) - 1 AS p FROM d),
+y AS MATERIALIZED (SELECT q, unnest(t) AS tok, generate_subscripts(t, 1) - 1 AS p FROM b),
+z AS (SELECT r, p, tok, lead(tok, 1) OVER o AS t2, lead(tok, 2) OVER o AS t3, lead(tok, 3) OVER o AS t4 FROM x WINDOW o AS (PARTITION BY r ORDER BY p)),
+h AS (SELECT r, p, 1 AS k, tok AS g FROM z UNION ALL SELECT r, p, 2, tok || ' ' || t2 FROM z UNION ALL SELECT r, p, 3, tok || ' ' || t2 || ' ' || t3 FROM z UNION ALL SELECT r, p, 4, tok || ' ' || t2 || ' ' || t3 || ' ' || t4 FROM z),
+c AS MATERIALIZED (SELECT DISTINCT h.r, g.q, h.p - g.p AS shift FROM h JOIN g ON h.k = g.k AND h.g = g.g),
+a AS (SELECT c.r, c.q, c.shift, y.p, (x.tok = y.tok)::INT AS same FROM c JOIN y ON c.q = y.q JOIN x ON x.r = c.r AND x.p = y.p + c.shift),
+m AS (SELECT a.*, sum(same) OVER o AS s1, count(*) OVER o AS c1, w FROM a JOIN b ON a.q = b.q WINDOW o AS (PARTITION BY a.r, a.q, a.shift ORDER BY a.p ROWS BETWEEN CURRENT ROW AND w - 1 FOLLOWING)),
+f AS (SELECT r, q, shift, p, s1 AS matched, w FROM m WHERE c1 = w AND s1 >= ceil(0.8 * w - 1e-9))
+SELECT doc_id, item_id, arg_min(matched, o)::INT AS matched, any_value(f2.w)::INT AS width, arg_min(p + shift, o)::BIGINT AS doc_start, arg_min(p, o)::INT AS item_start
+FROM (SELECT *, (-matched / w, p + shift, p) AS o FROM f) f2 JOIN d USING (r) JOIN b USING (q) GROUP BY doc_id, item_id""",
     "op11_license_scan": _license_scan_sql(),
     "op12_vector_codes": _vector_codes_sql(),
     "op13_spelling_variants": r"""
