@@ -15,7 +15,7 @@ Only DataFrame expressions are used. Urls are combined by (host, shape) before a
 rows is a few rows; what remains is joined by ``sized_join``, which no hot host slows down.
 
 Defined results: a null url, or one without ``://``, has an empty host and path; empty segments are segments; segments beyond
-``depth`` are one; equally long rules rank by their text; rows that repeat are judged alike; an empty table gives no rows.
+``depth`` are one (None: every segment has its level, and a round of jobs); equally long rules rank by their text; rows that repeat are judged alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -57,11 +57,11 @@ def _differ(hit: str, of: str) -> Column:
     return F.coalesce(F.abs(h / F.nullif(n, F.lit(0)) - rest_h / F.nullif(rest_n, F.lit(0))) > F.lit(Z) * error, F.lit(False))
 
 
-def templates(urls: DataFrame, depth: int = DEPTH, least: int = LEAST) -> DataFrame:
+def templates(urls: DataFrame, depth: int | None = DEPTH, least: int = LEAST) -> DataFrame:
     """Of host, path, bad (1, 0 or null): host, shape, template, purity, one row for each (host, shape)."""
     sums = [F.count(F.lit(1)).cast("double").alias("n"), F.count("bad").cast("double").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("bad")]
     tree = urls.withColumn("shape", shape(F.col("path"))).groupBy("host", "shape").agg(*sums)
-    segments = F.split(F.regexp_replace("shape", "^/", ""), "/", depth)
+    segments = F.split(F.regexp_replace("shape", "^/", ""), "/", depth or -1)
     tree = cut(tree.withColumn("segments", segments).withColumn("template", F.lit("")), "tree")
     levels = tree.agg(F.max(F.size("segments"))).first()[0] or 0
     stats = ("n", "labelled", "bad", "ends")
@@ -85,14 +85,14 @@ def shape(path: Column) -> Column:
     return F.regexp_replace(path, "[0-9]+", "#")
 
 
-def judge(urls: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", label_col: str | None = None) -> DataFrame:
+def judge(urls: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", label_col: str | None = None, depth: int | None = DEPTH) -> DataFrame:
     """One row for each row of ``urls``: id, host, path, rule, verdict (allow or block), template, purity."""
     host, path = host_and_path(F.col(url_col))
     label = F.col(label_col).cast("int") if label_col else F.lit(None).cast("int")
     rows = urls.select(F.col(id_col), host.alias("host"), path.alias("path"), label.alias("label"))
     rows = rows.withColumn("fits", ruled(F.col("host"), F.col("path"), rules))
     bad = F.col("label") if label_col else (F.col("fits.verdict") == "block").cast("int")
-    tree = cut(templates(rows.select("host", "path", bad.alias("bad"))), "templates")
+    tree = cut(templates(rows.select("host", "path", bad.alias("bad")), depth), "templates")
     judged = sized_join(rows.withColumn("shape", shape(F.col("path"))), tree, ["host", "shape"], "left")
     method = F.when(F.col("purity") >= REJECT, "block").otherwise("allow")
     return judged.select(id_col, "host", "path", "fits.rule", F.coalesce("fits.verdict", method).alias("verdict"), "template", "purity")

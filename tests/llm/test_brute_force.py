@@ -14,7 +14,7 @@ from tests.llm import data
 from tests.oracle import SF
 
 
-def tree(rows, least=url_filter.LEAST, z=url_filter.Z):
+def tree(rows, depth=url_filter.DEPTH, least=url_filter.LEAST, z=url_filter.Z):
     """Template and purity of each (host, shape), level by level in dictionaries. rows: host, path, bad."""
     sums = defaultdict(lambda: [0, 0, 0])
     for host, path, bad in rows:
@@ -22,7 +22,7 @@ def tree(rows, least=url_filter.LEAST, z=url_filter.Z):
         s[0] += 1
         s[1] += bad is not None
         s[2] += bad or 0
-    segments = {k: re.sub("^/", "", k[1]).split("/", url_filter.DEPTH - 1) for k in sums}
+    segments = {k: re.sub("^/", "", k[1]).split("/", depth - 1) for k in sums}
     template = dict.fromkeys(sums, "")
 
     def differ(h, n, all_h, all_n):
@@ -61,10 +61,10 @@ def tree(rows, least=url_filter.LEAST, z=url_filter.Z):
 def test_the_template_tree_is_that_of_a_plain_version(spark):
     r = random.Random(5)
     paths = ["/" + "/".join(r.choice(["a", "b", f"i{r.randint(1, 99)}", "list", "x", ""]) for _ in range(r.randint(0, 6))) for _ in range(900)]
-    rows = [(r.choice(["h", "k"]), p, r.choice([None, 0, 1]) if "list" not in p else 1) for p in paths] + [("deep", "/" + "/".join("abcdefghij" * 5), 1)] * 7 + [("", "", None)]
+    rows = [(r.choice(["h", "k"]), p, r.choice([None, 0, 1]) if "list" not in p else 1) for p in paths] + [("deep", "/a/b/c/d/e/f/g/h", 1)] * 7 + [("", "", None)]
     df = spark.createDataFrame(rows, "host string, path string, bad int")
-    got = {(x.host, x.shape): (x.template, x.purity) for x in url_filter.templates(df).collect()}
-    want = tree(rows)
+    got = {(x.host, x.shape): (x.template, x.purity) for x in url_filter.templates(df, 5).collect()}
+    want = tree(rows, 5)
     assert got.keys() == want.keys()
     for k, (template, purity) in want.items():
         assert got[k][0] == template and abs(got[k][1] - purity) < 1e-9, k
@@ -180,3 +180,11 @@ def test_the_pipeline_is_its_stages_one_after_the_other(spark, tmp_path):
     leaks = {x.doc_id for x in decontam.contaminated(survivors, read_table(spark, SF, "benchmark")).collect()}
     got = {x.doc_id for x in corpus_pipeline.run(spark, SF).select("doc_id").collect()}
     assert got == left - leaks and len(got) > 100
+
+
+def test_a_tree_of_every_depth(spark):
+    rows = [(i, f"http://h/a/b/c/{'good' if i % 2 else 'bad'}/x", int(i % 2 == 0)) for i in range(20)]
+    rows += [(20, "http://h/" + "x" * 100_000, 1), (21, None, None), (22, "http://h/" + "9" * 100_000 + "?q", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    told = {x.page_id: x.verdict for x in url_filter.judge(df, [], label_col="bad", depth=None).collect()}
+    assert len(told) == 23 and all(told[i] == ("block" if b else "allow") for i, _, b in rows[:20])
