@@ -43,6 +43,8 @@ _LIMITS = np.uint64(1) << WIDTHS.astype(np.uint64)
 ESCAPE = 15
 #: Different words that a Python worker keeps the ids of.
 KNOWN_WORDS = 800_000
+#: Texts whose words are looked up together: the more there are, the more words they share.
+AT_ONCE = 4096
 _MARKS = b".,!?;:%&$#*|"
 #: The first letter after those of Latin alphabets, and the one before it that lower case makes a letter and a mark.
 _BEYOND, _DOTTED = "\u0250", "\u0130"
@@ -261,10 +263,10 @@ def write(docs: DataFrame, tokenizer: str, end: int, id_col: str = "doc_id", tex
             if b.num_rows:
                 part = b.column(2)[0].as_py()
             ids = b.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            for i in range(0, b.num_rows, 1024):
-                flat, counts = encoded(b.column(1).slice(i, 1024))
+            for i in range(0, b.num_rows, AT_ONCE):
+                flat, counts = encoded(b.column(1).slice(i, AT_ONCE))
                 counts = counts + 1
-                held.append((ids[i : i + 1024], counts, np.insert(flat, np.cumsum(counts - 1), end)))
+                held.append((ids[i : i + AT_ONCE], counts, np.insert(flat, np.cumsum(counts - 1), end)))
                 if sum(len(h[2]) for h in held) >= FILE_IDS:
                     yield flush()
         if held:
