@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: Different parts that a Python worker remembers, and their characters together.
-REMEMBER, REMEMBER_CHARS = 200_000, 8 << 20
+#: Different parts that a Python worker remembers (some 300 bytes each), and characters that they have on average at most.
+REMEMBER, PART_CHARS = 200_000, 40
 _SWAP = str.maketrans({" ": SPACE, SPACE: " "})
 _MISSING = object()
 
@@ -39,10 +39,10 @@ _MISSING = object()
 class Pieces:
     """A SentencePiece model file as a lattice."""
 
-    def __init__(self, path: str, n: int = 3):
+    def __init__(self, path: str, n: int = 3, remember: int = REMEMBER):
         from sentencepiece import SentencePieceProcessor
 
-        sp, self.n = SentencePieceProcessor(model_file=path), n
+        sp, self.n, self.remember = SentencePieceProcessor(model_file=path), n, remember
         ids = range(sp.get_piece_size())
         plain = [i for i in ids if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.bytes = {int(sp.id_to_piece(i)[3:5], 16): i for i in ids if sp.is_byte(i)}
@@ -158,7 +158,7 @@ class Pieces:
 
         A change (k, o) says that the text's k-th part takes its o-th other segmentation.
         """
-        if len(self.known) > REMEMBER or self.chars > REMEMBER_CHARS:
+        if len(self.known) > self.remember or self.chars > self.remember * PART_CHARS:
             self.forget()
         split = [self._parts(t) if t else [] for t in texts]
         if new := set(chain.from_iterable(split)).difference(self.known):
@@ -197,7 +197,7 @@ class Pieces:
         return b"".join(map(self.surface.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text_col: str = "text", remember: int = REMEMBER) -> DataFrame:
     """id, n_pieces, ids (of the best segmentation), scores (of the n best, best first), round_trip (decoding gives the text), others (the
     ids of the n best after the first)."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -205,7 +205,7 @@ def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text
     held = docs.sparkSession.sparkContext.broadcast({})  # in each Python worker, it keeps the model from task to task
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = held.value.setdefault("pieces", None) or Pieces(model, n)
+        pieces = held.value.setdefault("pieces", None) or Pieces(model, n, remember)
         held.value["pieces"] = pieces
         for whole in batches:
             for at in range(0, whole.num_rows, 512):

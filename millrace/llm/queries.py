@@ -24,7 +24,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), remember=1_000_000)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
