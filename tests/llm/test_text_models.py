@@ -106,11 +106,10 @@ def test_scores_and_pieces_are_those_of_the_library(model):
     assert model.nbest("") == [(0.0, [])] and model.nbest(None) == [(0.0, [])]
 
 
-def test_order_and_memory_do_not_matter(model, monkeypatch):
+def test_order_and_memory_do_not_matter(model):
     texts = [t for _, t, _ in data.texts()]
     a = [(x[0], [s for s, _ in x[1]]) for x in model.encode(texts)]
-    monkeypatch.setattr(pieces, "REMEMBER", 0)
-    other = pieces.Pieces(PIECES, 4)
+    other = pieces.Pieces(PIECES, 4, remember=0)
     b = [(x[0][0], [s for s, _ in x[0][1]]) for x in (other.encode([t]) for t in reversed(texts))][::-1]
     assert a == b
 
