@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lineage import kept
+from .lineage import kept, probed
+
+#: Doublings of ``gram`` up to which long texts are looked up by longer n-grams.
+DOUBLINGS = 3
 
 
 def _grams(c: Column, n: int) -> Column:
@@ -32,45 +35,67 @@ def contained_sets(small: DataFrame, large: DataFrame, items: str, key: str = "t
     often = index.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     wanted = small.select(F.col(key).alias("small"), F.col(items).alias("wanted"), F.explode(items).alias("item"))
     # An item that no large set has is the rarest, and rightly finds nothing.
-    rarest = wanted.join(often, "item", "left").groupBy("small").agg(F.min_by(F.struct("item", "wanted"), F.struct(F.coalesce("n", F.lit(0)), "item")).alias("r"))
-    probes = rarest.select("small", "r.*")
-    return probes.join(index, "item").where(F.size(F.array_except("wanted", "offered")) == 0).select("small", "large")
+    rarest = wanted.hint("merge").join(often, "item", "left").groupBy("small").agg(F.min_by(F.struct("item", "wanted"), F.struct(F.coalesce("n", F.lit(0)), "item")).alias("r"))
+    return probed(index, rarest.select("small", "r.*"), "item").where(F.size(F.array_except("wanted", "offered")) == 0).select("small", "large")
 
 
 def contained_texts(small: DataFrame, large: DataFrame, gram: int = 3, key: str = "text") -> DataFrame:
     """Pairs (small, large) of texts of which one is part of the other. An empty text is part of none.
 
-    A text of fewer than ``gram`` characters is its only gram, and every text is indexed by its shorter grams for that.
+    A text of fewer than ``gram`` characters is its only gram, and every text is indexed by its shorter grams for that. A longer text goes by its rarest gram of
+    ``gram`` characters, doubled as often as they fit (DOUBLINGS times at most), since what shares long grams with it is little more than what contains it.
+    Grams travel as hashes; the texts themselves decide.
     """
-    def asked(c: Column) -> Column:
-        return F.when(F.length(c) >= gram, _grams(c, gram)).when(F.length(c) > 0, F.array(c)).otherwise(F.array().cast("array<string>"))
-
-    lengths = small.select(F.least(F.length(key), F.lit(gram)).alias("n")).where("n > 0").distinct()
-    posted = F.array_distinct(F.flatten(F.array(*[_grams(F.col(key), n) for n in range(1, gram + 1)])))
-    index = large.select(F.col(key).alias("large"), F.explode(posted).alias("item")).withColumn("n", F.length("item")).join(F.broadcast(lengths), "n").drop("n")  # gram rows at most
+    sizes = [*range(1, gram), *(gram << i for i in range(DOUBLINGS + 1))]
+
+    def hashed(grams: Column) -> Column:
+        return F.transform(grams, lambda g: F.xxhash64(g))
+
+    length, own = F.length(key), F.lit(0)
+    for n in sizes:
+        own = F.when(length >= n, n).otherwise(own)
+    wanted = small.select(F.col(key).alias("small"), own.alias("n")).where("n > 0")
+    lengths = {r["n"] for r in wanted.select("n").distinct().collect()}  # gram + DOUBLINGS rows at most
+    of_size = F.array().cast("array<string>")
+    for n in sorted(lengths):
+        of_size = F.when(F.col("n") == n, _grams(F.col("small"), n)).otherwise(of_size)
+    wanted = wanted.select("small", F.explode(F.array_distinct(hashed(of_size))).alias("item"))
+    posted = [_grams(F.col(key), n) for n in sorted(lengths)] or [F.array().cast("array<string>")]
+    index = large.select(F.col(key).alias("large"), F.explode(F.array_distinct(hashed(F.flatten(F.array(*posted))))).alias("item"))
     often = index.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    wanted = small.select(F.col(key).alias("small"), F.explode(asked(F.col(key))).alias("item"))
-    rarest = wanted.join(often, "item", "left").groupBy("small").agg(F.min_by("item", F.struct(F.coalesce("n", F.lit(0)), "item")).alias("item"))
-    return rarest.join(index, "item").where(F.contains("large", F.col("small"))).select("small", "large")
+    rarest = wanted.hint("merge").join(often, "item", "left").groupBy("small").agg(F.min_by("item", F.struct(F.coalesce("n", F.lit(0)), "item")).alias("item"))
+    return probed(index, rarest, "item").where(F.contains("large", F.col("small"))).select("small", "large")
 
 
 def loose_match(asked: DataFrame, asked_id: str, asked_name: str, names: DataFrame, names_id: str, name: str, least: int = 2) -> DataFrame:
     """One row for each asked id: id, matches (rows of ``names`` that match), match (the id of the only one, else null).
 
     A name matches if, in upper case, it contains the asked text or is contained in it, or if the asked words of more than ``least`` characters are among
-    its own. Blank texts match nothing. Pairs are found between distinct texts; only counts and the smallest id of each text go on.
+    its own. Blank texts match nothing. Words are compared between distinct sets of words, and of distinct texts only those pairs are made whose words do not
+    match; only counts and the smallest id of each text go on.
     """
-    def distinct(df: DataFrame, c: str) -> DataFrame:
-        text = F.upper(F.col(c))
-        return kept(df.select(text.alias("text")).where(F.trim("text") != "").distinct().withColumn("words", words_over(F.col("text"), least)), "texts")
+    def words(c: str) -> Column:
+        return F.array_sort(words_over(F.col(c), least))
+
+    def texts(df: DataFrame, c: str, *more: Column) -> DataFrame:
+        return df.select(F.upper(F.col(c)).alias("text"), *more).where(F.trim("text") != "")
+
+    a = kept(texts(asked, asked_name).distinct().withColumn("words", words("text")), "asked")
+    b = kept(texts(names, name, F.col(names_id).alias("id")).groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).withColumn("words", words("text")), "names")
+    totals = [F.sum("n").alias("n"), F.min("id").alias("id")]
+
+    sets = kept(b.groupBy("words").agg(*totals), "sets")
+    subsets = contained_sets(a.select("words").distinct(), sets, "words", "words")
+    of_set = subsets.join(sets.withColumnRenamed("words", "large"), "large").groupBy("small").agg(*totals)
+    by_words = a.join(of_set.withColumnRenamed("small", "words"), "words").select(F.col("text").alias("a"), "n", "id")
 
-    a, b = distinct(asked, asked_name), distinct(names, name)
     forward = contained_texts(a, b).select(F.col("small").alias("a"), F.col("large").alias("b"))
-    backward = contained_texts(b, a).select(F.col("large").alias("a"), F.col("small").alias("b"))
-    subsets = contained_sets(a, b, "words").select(F.col("small").alias("a"), F.col("large").alias("b"))
-    pairs = forward.union(backward).union(subsets).distinct()
-    rows = names.select(F.upper(F.col(name)).alias("b"), F.col(names_id).alias("id")).groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
-    found = kept(pairs.join(rows, "b").groupBy("a").agg(F.sum("n").alias("matches"), F.min("id").alias("id")), "found")
+    backward = contained_texts(b, a).select(F.col("large").alias("a"), F.col("small").alias("b")).where("a <> b")  # equal texts are forward pairs
+    other = (F.size(words("a")) == 0) | (F.size(F.array_except(words("a"), words("b"))) > 0)
+    pairs = kept(forward.union(backward).where(other), "pairs")
+    by_text = pairs.join(b.select(F.col("text").alias("b"), "n", "id"), "b").select("a", "n", "id")
+
+    found = kept(by_words.union(by_text).groupBy("a").agg(F.sum("n").alias("matches"), F.min("id").alias("id")), "found")
     out = asked.select(F.col(asked_id).alias("asked"), F.upper(F.col(asked_name)).alias("a")).join(found, "a", "left")
     return out.select(F.col("asked").alias(asked_id), F.coalesce("matches", F.lit(0)).alias("matches"), F.when(F.col("matches") == 1, F.col("id")).alias("match"))
 

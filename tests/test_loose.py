@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import loose
+from millrace.operators import lineage, loose, matching
 
 
 def hits(a, b):
@@ -92,3 +92,48 @@ def test_typed(spark):
     assert (polar.label, polar.reason) == (None, "polarity_conflict")
     three = loose.typed(spark.createDataFrame([("M0RT6AGE B0UND AB1E L0T",)], "text string"), "text", spark.createDataFrame([("M0RT6AGE BOUND ABIE LOT", False)], "name string, negative boolean"), "name", "negative", []).first()
     assert (three.confidence, three.reason) == (85.0, "speculative")
+
+
+def broadcast_explodes(df):
+    """Whether a broadcast side of the plan has an explode in it, of which Spark's estimates know nothing."""
+    lines, inside = df._jdf.queryExecution().executedPlan().toString().split("\n"), None
+    for line in lines:
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        inside = None if inside is not None and depth <= inside else inside
+        if inside is not None and "Generate explode" in line:
+            return True
+        if "BroadcastExchange" in line and inside is None:
+            inside = depth
+    return False
+
+
+def test_no_exploded_index_is_broadcast(spark, tmp_path):
+    spark.range(2000).select("id", F.concat(F.lit("name "), F.col("id").cast("string")).alias("t")).write.parquet(str(tmp_path / "names"))
+    names = spark.read.parquet(str(tmp_path / "names"))
+    asked = spark.createDataFrame([(1, "na", "1"), (2, "", "")], "ask int, a string, b string")
+    found = matching.ordered_contains(names, "t", asked, "ask", ["a", "b"])
+    assert not broadcast_explodes(found) and found.where("ask = 2").count() == 2000
+    texts = names.select(F.col("t").alias("text"), F.split("t", " ").alias("words"))
+    assert not broadcast_explodes(loose.contained_texts(texts, texts))
+    assert not broadcast_explodes(loose.contained_sets(texts, texts, "words"))
+
+
+def test_probes_that_are_not_small_are_not_broadcast(spark, monkeypatch):
+    rows, probes = spark.range(20).select(F.explode(F.array("id", F.lit(7))).alias("k")), spark.createDataFrame([(7, "x"), (8, None)], "k long, v string")
+    few = lineage.probed(rows, probes, "k")
+    monkeypatch.setattr(lineage, "SMALL_ROWS", 1)
+    many = lineage.probed(rows, probes, "k")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(few) and "Broadcast" not in plan(many)
+    assert sorted(map(tuple, few.collect()), key=str) == sorted(map(tuple, many.collect()), key=str) and few.count() == 22
+
+
+def test_words_that_match_make_no_pairs_of_texts(spark, tmp_path, monkeypatch):
+    """30 asked texts and 30 names of the same words: one pair of sets, no pair of texts."""
+    seen, keep = {}, loose.kept
+    monkeypatch.setattr(loose, "kept", lambda df, name: seen.setdefault(name, keep(df, name)))
+    asked = spark.createDataFrame([(i, f"red bolt {i}") for i in range(30)], "a int, t string")
+    names = spark.createDataFrame([(i, f"red large bolt {i}") for i in range(30)], "n int, t string")
+    got = loose.loose_match(asked, "a", "t", names, "n", "t").collect()
+    assert {(r.matches, r.match) for r in got} == {(30, None)} and len(got) == 30
+    assert seen["sets"].count() == 1 and seen["pairs"].count() == 0
