@@ -261,9 +261,9 @@ def listed_days(spark, d):
 @query("""WITH w AS (SELECT p_partkey, p_brand, p_size, list_distinct(string_split(p_name || ' ' || lower(p_type), ' ')) AS w FROM part), h AS (SELECT a.p_partkey, min(b.p_partkey) AS match_id, count(*) AS candidates FROM w a JOIN w b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey <> b.p_partkey AND len(list_intersect(a.w, b.w)) >= 1 GROUP BY 1)
 SELECT p.p_partkey, CASE WHEN candidates > 0 THEN 'brand_size' END AS tier, coalesce(candidates, 0) AS candidates, match_id FROM part p LEFT JOIN h ON p.p_partkey = h.p_partkey""")
 def verified_match(spark, d):
-    """Parts of one brand and size that share a word; the pairs are those of small groups."""
-    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size", F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ").alias("w"))
-    found = matching.tiered_match(p, p.withColumnRenamed("p_partkey", "k"), "p_partkey", "k", [("brand_size", 85, ["p_brand", "p_size"])], F.arrays_overlap("l.w", "r.w"), itself=True)
+    """Parts of one brand and size that share a word; the pairs are those of different words in a brand and size."""
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size", F.array_sort(F.array_distinct(F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " "))).alias("w"))
+    found = matching.tiered_match(p, p.withColumnRenamed("p_partkey", "k"), "p_partkey", "k", [("brand_size", 85, ["p_brand", "p_size"])], F.arrays_overlap("l.w", "r.w"), itself=True, looks_at=["w"])
     return found.select("p_partkey", "tier", "candidates", "match_id")
 
 

@@ -137,3 +137,35 @@ def test_words_that_match_make_no_pairs_of_texts(spark, tmp_path, monkeypatch):
     got = loose.loose_match(asked, "a", "t", names, "n", "t").collect()
     assert {(r.matches, r.match) for r in got} == {(30, None)} and len(got) == 30
     assert seen["sets"].count() == 1 and seen["pairs"].count() == 0
+
+
+def copied(spark, n, copies, seed):
+    r = random.Random(seed)
+    some = [(r.choice(["x", "y", None]), r.choices("pqrst", k=r.randint(0, 4))) for _ in range(n)]
+    return spark.createDataFrame([(i, *some[i % n]) for i in range(n * copies)], "id int, g string, w array<string>")
+
+
+@pytest.mark.parametrize("itself", [True, False])
+def test_verified_tiers_make_pairs_of_values_only(spark, monkeypatch, itself):
+    p = copied(spark, 30, 4, 3).union(spark.createDataFrame([(1000, "x", None), (1001, "z", ["alone"])], "id int, g string, w array<string>"))
+    q = p.withColumnRenamed("id", "rid") if itself else copied(spark, 25, 3, 4).withColumnRenamed("id", "rid")
+    seen, keep = {}, matching.kept
+    monkeypatch.setattr(matching, "kept", lambda df, name: seen.setdefault(name, keep(df, name)))
+    overlap = F.arrays_overlap("l.w", "r.w")
+    fast = matching.tiered_match(p, q, "id", "rid", [("g", 80, ["g"])], overlap, itself=itself, looks_at=["w"])
+    slow = matching.tiered_match(p, q, "id", "rid", [("g", 80, ["g"])], overlap, itself=itself)
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
+    assert seen["hits"].count() <= 30 and seen["classes"].count() <= 31
+
+
+def test_best_cover_makes_pairs_of_classes_only(spark, monkeypatch):
+    p = copied(spark, 40, 1, 5).union(copied(spark, 15, 3, 6).withColumn("id", F.col("id") + 100)).where("size(w) > 0")
+    c = p.select(F.col("id").alias("cid"), "g", F.when(F.col("id") % 3 == 0, F.array_union("w", F.array(F.lit("z")))).otherwise(F.col("w")).alias("w"))
+    distinct = c.select("cid", "g", F.array_distinct("w").alias("offered"))
+    pairs = p.join(distinct, "g").where("id <> cid").withColumn("w", F.array_distinct("w"))
+    seen, keep = {}, matching.kept
+    monkeypatch.setattr(matching, "kept", lambda df, name: seen.setdefault(name, keep(df, name)))
+    got = matching.best_cover(p, c, "id", "cid", "w", ["g"], itself=True)
+    want = sorted(map(tuple, matching.best_overlap(pairs, "id", "cid", "w", "offered").collect()))
+    assert want and sorted(map(tuple, got.collect())) == want
+    assert seen["levels"].count() == p.where("g is not null").select("g", F.array_sort(F.array_distinct("w"))).distinct().count()
