@@ -66,3 +66,15 @@ def test_no_plan_has_a_cross_join(spark):
 
 def test_an_empty_table(spark):
     assert entities.merged(spark.createDataFrame([], "id long, a string, b string"), "id", {"a": [F.col("a")], "b": [F.col("b")]}).count() == 0
+
+
+def test_links_are_of_ids_and_shrink_fast(spark, monkeypatch):
+    """A chain of 200 rows and 300 copies of a row: a key's rows are linked to one of them, and a few rounds are enough."""
+    seen, keep = [], entities.kept
+    monkeypatch.setattr(entities, "kept", lambda df, name: seen.append((name, keep(df, name))) or seen[-1][1])
+    links = [(i + d, f"k{i}") for i in range(199) for d in (0, 1)] + [(1000 + i, "hot") for i in range(300)] + [(5000, "alone")]
+    got = {r.id: r.label for r in entities.connected(spark.createDataFrame(links, "id long, key string")).collect()}
+    assert got == {i: 0 for i in range(1, 200)} | {1000 + i: 1000 for i in range(1, 300)}
+    edges = [df.count() for name, df in seen if name == "edges"]
+    assert edges[0] == 199 + 299 and edges[-1] == 0 and len(edges) <= 3
+    assert all(dict(df.dtypes).keys() <= {"u", "v", "m", "went"} for _, df in seen)
