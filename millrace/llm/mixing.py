@@ -9,10 +9,10 @@ training texts; the number of rows follows the fourth root of the training bytes
 into a worker (some 80 MB at 0.5 GB of text, 1.7 GB at 100 TB). They are written to the shared folder and read there, never collected.
 
 Mixing. The stretched predictions are added up with weights that the bit's place in the byte and the number of longer contexts seen
-before select (gates). The weights that a text begins with are a logistic regression (Newton steps on sums over all texts of one
-fold of the training rows, against counts of the other folds, so that no text meets its own counts), and move online: after each TURN
+before select (gates). The weights that a text begins with are a logistic regression (Newton steps on sums over all training texts, each
+half of them against counts of the other half, so that no text meets its own counts), and move online: after each TURN
 bytes, along the text's coding errors. An adaptive map of the mixed prediction by bit place then refines it; it begins with
-that fold's counts and goes on with the text's own.
+the counts of all training texts, found likewise, and goes on with the text's own.
 
 Base. Documents are cut into blocks of bounded size, and each block into its different words and their places. Counts are summed by
 word and go back to the blocks that hold the word: those of the FREQUENT words that most blocks hold by broadcast, the others
@@ -51,8 +51,8 @@ LONGER, PAD, PAGE = (1, 2), 8, 1 << 16
 GATES = len(LONGER) + 1
 #: Prior of a count, and steps of a stretched prediction in a table.
 PRIOR, SCALE = 0.4, 16.0
-#: One of so many training texts fits the first weights; Newton steps, and ridge.
-FOLDS, NEWTON, RIDGE = 64, 2, 1.0
+#: Folds of the training texts, each of which fits the first weights against the others; Newton steps, and ridge.
+FOLDS, NEWTON, RIDGE = 2, 2, 1.0
 #: Bytes between two updates of a text's weights, and their rate.
 TURN, RATE = 1024, 0.02
 #: Bytes that are looked up at once, and counted or fitted at once; texts that are coded side by side and their bytes (or those of a piece
@@ -294,7 +294,7 @@ def _groups(texts: list[bytes], most: int) -> Iterator[list[bytes]]:
 
 
 def _tables(rows: DataFrame, sizes: np.ndarray) -> DataFrame:
-    """page, others and every (the stretched tables of the training texts outside the fold, and of all) from text and fold (boolean)."""
+    """page, outside, inside and every (the stretched tables of the training texts outside the fold, of those in it, and of all) from text and fold (boolean)."""
     total = 4 * int(sizes.sum())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,8 +319,8 @@ def _tables(rows: DataFrame, sizes: np.ndarray) -> DataFrame:
         page, sums = None, None
 
         def done() -> pa.RecordBatch:
-            both = [stretched(x).tobytes() for x in (sums[0], sums[0] + sums[1])]
-            return pa.RecordBatch.from_arrays([pa.array([page], pa.int32()), *(pa.array([x], pa.binary()) for x in both)], ["page", "others", "every"])
+            each = [stretched(x).tobytes() for x in (sums[0], sums[1], sums[0] + sums[1])]
+            return pa.RecordBatch.from_arrays([pa.array([page], pa.int32()), *(pa.array([x], pa.binary()) for x in each)], ["page", "outside", "inside", "every"])
 
         for b in batches:
             for p, f, c in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
@@ -335,7 +335,7 @@ def _tables(rows: DataFrame, sizes: np.ndarray) -> DataFrame:
 
     # A page's partial counts pass by one after the other, however many there are.
     partial = rows.select("text", "fold").mapInArrow(count, "page int, fold boolean, counts binary")
-    return partial.repartition("page").sortWithinPartitions("page").mapInArrow(add, "page int, others binary, every binary")
+    return partial.repartition("page").sortWithinPartitions("page").mapInArrow(add, "page int, outside binary, inside binary, every binary")
 
 
 def read_table(folder: str, column: str, sizes: np.ndarray) -> np.ndarray:
@@ -353,12 +353,11 @@ class Training:
 
     def __init__(self, rows: DataFrame, train_bytes: int):
         self.spark, self.sizes, self.weights, self.map = rows.sparkSession, sizes_of(train_bytes), None, (None, None)
-        fold = cut(rows.where("fold").select("text"), "fold")
         self.folder = new_folder(self.spark, "tables")
-        _tables(rows.where("not fold").unionByName(fold.withColumn("fold", F.lit(True))), self.sizes).write.parquet(self.folder)
+        _tables(rows, self.sizes).write.parquet(self.folder)
         for _ in range(NEWTON):
-            self._newton(fold)
-        self._fill(fold)
+            self._newton(rows)
+        self._fill(rows)
 
     def _maker(self, column: str):
         kept = self.spark.sparkContext.broadcast({})  # in each Python worker, it keeps the table from task to task
@@ -374,23 +373,27 @@ class Training:
     def maker(self):
         return self._maker("every")
 
-    def _sums(self, fold: DataFrame, run) -> dict[int, float]:
-        """Sums by number over all tasks (a fixed number of them), of what ``run(model, texts)`` gives; rounded, so that the order of adding is not seen."""
-        make = self._maker("others")
+    def _sums(self, rows: DataFrame, run) -> dict[int, float]:
+        """Sums by number over all tasks (a fixed number of them), of what ``run(model, texts)`` gives; rounded, so that the order of adding is not seen.
+        Each fold's texts meet the model of the other's, and a task those of one fold only."""
 
-        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums, model = None, None
-            for b in batches:
-                model = model or make()
-                for some in _groups([normal(t) for t in b.column(0).to_pylist()], PART):
-                    now = run(model, some)
-                    sums = now if sums is None else sums + now
-            if sums is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums)), pa.int32()), pa.array(sums)], ["i", "x"])
+        def of(make):
+            def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                sums, model = None, None
+                for b in batches:
+                    model = model or make()
+                    for some in _groups([normal(t) for t in b.column(0).to_pylist()], PART):
+                        now = run(model, some)
+                        sums = now if sums is None else sums + now
+                if sums is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums)), pa.int32()), pa.array(sums)], ["i", "x"])
 
-        return {r["i"]: r["x"] for r in fold.mapInArrow(each, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()}
+            return each
 
-    def _newton(self, fold: DataFrame) -> None:
+        parts = [rows.where(which).select("text").mapInArrow(of(self._maker(column)), "i int, x double") for which, column in (("fold", "outside"), ("not fold", "inside"))]
+        return {r["i"]: r["x"] for r in parts[0].union(parts[1]).groupBy("i").agg(F.sum("x").alias("x")).collect()}
+
+    def _newton(self, rows: DataFrame) -> None:
         """A Newton step of the weights of every gate and bit."""
 
         def run(model: Model, texts: list[bytes]) -> np.ndarray:
@@ -410,7 +413,7 @@ class Training:
                         out[P + P * i + j, where] += sums(slope * x[i] * x[j])
             return out.ravel()
 
-        found = self._sums(fold, run)
+        found = self._sums(rows, run)
         if not found:
             return
         sums = np.array([found[i] for i in range(len(found))]).reshape(P + P * P, GATES * 8)
@@ -421,9 +424,9 @@ class Training:
             now[:, c] += np.clip(np.linalg.solve(hessian, sums[:P, c] - RIDGE * (now[:, c] - 1.0 / P)), -0.5, 0.5)
         self.weights = np.round(now.reshape(P, GATES, 8), 5)
 
-    def _fill(self, fold: DataFrame) -> None:
+    def _fill(self, rows: DataFrame) -> None:
         """The counts that the adaptive map begins with, as many as make FIRM of a cell that is met often."""
-        found = self._sums(fold, lambda model, texts: model.score(texts)[1].ravel())
+        found = self._sums(rows, lambda model, texts: model.score(texts)[1].ravel())
         if found:
             self.map = tuple(np.array([found[i] for i in range(2 * CELLS)]).reshape(2, CELLS))
 

@@ -381,3 +381,15 @@ def test_the_sample_of_the_language_classifier_is_bounded_whatever_the_ids(spark
         assert model.langs == ["aa", "bb"] and len(model.words) == 41
         counts = [langid.fit(docs.repartition(n), fit_rows=40).words.keys() for n in (1, 5)]
         assert counts[0] == counts[1] == model.words.keys()
+
+
+def test_all_training_texts_fit_the_weights_and_the_map(spark, monkeypatch):
+    made = []
+    begin = mixing.Training.__init__
+    monkeypatch.setattr(mixing.Training, "__init__", lambda self, *args: (begin(self, *args), made.append(self))[0])
+    texts = [(i, f"text number {i} of some, again and again {i * i}") for i in range(60)] + [(60, None), (61, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    held = {r.doc_id for r in docs.where(mixing.held_out(F.col("doc_id"))).collect()}
+    assert mixing.score(docs, mixing.held_out(F.col("doc_id"))).count() == 62
+    bits = 8 * sum(len(mixing.normal((t or "").encode())) for i, t in texts if i not in held)
+    assert made[0].map[0].sum() == bits
