@@ -10,6 +10,9 @@ names; rows that repeat are copies of each other, so one of them stays.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +21,22 @@ from millrace.llm.common import cut, read_table
 
 #: Words of a shingle, and the similarity of shingles from which texts are near copies.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
+#: Bytes of rows that go to a Python worker at once. Spark's own 64 MB are there several times over: in the JVM, which doubles its buffers as it
+#: writes them, and in the worker, as bytes, as strings and in lower case; neither gives all of that back to the machine.
+BATCH_BYTES = 4 << 20
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage with the session's Arrow batches held to BATCH_BYTES. The setting stays, since Spark reads it as the stage's rows are written."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +65,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("language_id", language_id), ("exact_copies", exact_copies), ("near_copies", near_copies), ("benchmark_leaks", benchmark_leaks), ("sentencepiece", encode)]
+STAGES = [(name, in_small_batches(stage)) for name, stage in STAGES]
 
 #: The language classifier, the fingerprints and the N-best search are beyond SQL.
 ORACLE_SQL = None

@@ -186,6 +186,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(bands).view(np.int64) if bands else np.zeros(0, np.int64))),
                     pa.array(raw, pa.binary()),
                 ], ["id", "key", "node", "fp", "bands", "shingles"])
+        pa.default_memory_pool().release_unused()  # the worker lives on, and what its allocator keeps is no one else's
 
     text = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).cast("binary").alias("text")
     return docs.select(F.col(f"`{id_col}`").alias("id"), _text_key(text_col).alias("key"), text).mapInArrow(run, f"id {kind}, key long, node long, fp long, bands array<long>, shingles binary")

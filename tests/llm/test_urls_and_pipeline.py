@@ -1,6 +1,9 @@
 import re
 from collections import Counter
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from millrace.llm import queries, url_filter
 from tests.llm import data
@@ -87,3 +90,10 @@ def test_the_stages_keep_what_they_should(spark):
     assert seen["exact_copies"] == Counter(None if none else i for none, i in first.values())
     assert seen["near_copies"] == seen["exact_copies"] - Counter([50, 51, 52, 53])
     assert seen["benchmark_leaks"] == seen["near_copies"] and seen["sentencepiece"] == seen["benchmark_leaks"]
+
+
+def test_stages_hand_texts_to_workers_in_small_batches(spark, monkeypatch):
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 400).alias("text"))  # 18 MB
+    monkeypatch.setattr(corpus_pipeline.pieces, "encode", lambda docs, model: docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["rows", "bytes"]) for b in batches), "rows long, bytes long"))
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert sum(r.rows for r in got) == 4000 and max(r.bytes for r in got) < 1.1 * corpus_pipeline.BATCH_BYTES
