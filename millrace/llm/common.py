@@ -56,6 +56,12 @@ def _width(df: DataFrame) -> Column:
     return out
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that Spark must not broadcast by its own estimate: that is of compressed files, and does not see how many rows
+    an explode makes of one."""
+    return df.hint("merge")
+
+
 def sized_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", rows: int | None = None) -> DataFrame:
     """Equi-join that no hot key slows down: ``small`` is broadcast if it has BROADCAST_ROWS rows and BROADCAST_BYTES bytes at most (both
     counted; who gives ``rows`` vouches for columns of fixed width); beyond that, ``small`` is repeated for each of SALTS salts and the rows of ``big`` are dealt over them.
@@ -71,7 +77,7 @@ def sized_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
         return big.join(F.broadcast(small), keys, how)
     salted = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = big.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(SALTS)).cast("int"))
-    return dealt.join(salted, [*keys, "__salt"], how).drop("__salt")
+    return dealt.join(shuffled(salted), [*keys, "__salt"], how).drop("__salt")
 
 
 def weighed_join(big: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
@@ -81,7 +87,7 @@ def weighed_join(big: DataFrame, small: DataFrame, keys: list[str], weight: str)
     joined by a plain shuffle, in which no key has more than HOT rows."""
     hot = small.where(F.col(weight) > HOT).withColumn("__hot", F.lit(True))
     marked = sized_join(big, hot, keys, "left")
-    cool = marked.where("__hot is null").select(*big.columns).join(small.where(F.col(weight) <= HOT), keys)
+    cool = marked.where("__hot is null").select(*big.columns).join(shuffled(small.where(F.col(weight) <= HOT)), keys)
     return marked.where("__hot").drop("__hot").unionByName(cool)
 
 

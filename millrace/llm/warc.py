@@ -30,7 +30,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SALTS, cut, new_folder, weighed_join
+from .common import SALTS, cut, new_folder, shuffled, weighed_join
 
 SUFFIX, FILE_BYTES = ".warc.gz", 16 << 20
 #: Equal rows of a table that are written at once.
@@ -221,6 +221,6 @@ def assemble(records: DataFrame) -> DataFrame:
     revisits = whole.where("type = 'revisit'")
     # Only what revisits refer to is repeated for the salts, and it holds no payloads.
     first = first.join(revisits.select("refers_to").distinct(), "refers_to", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    revisits = revisits.withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int")).join(first, ["refers_to", "salt"], "left").drop("salt")
+    revisits = revisits.withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int")).join(shuffled(first), ["refers_to", "salt"], "left").drop("salt")
     both = revisits.unionByName(whole.where("type <> 'revisit'"), allowMissingColumns=True)
     return both.select("record_id", "type", "target_uri", "date", F.coalesce("original.payload_digest", "payload_digest").alias("payload_digest"), F.coalesce("original.payload_bytes", "payload_bytes").alias("payload_bytes"), F.when(F.col("type") == "response", F.col("payload")).alias("payload"), "refers_to", "original", "request", "metadata", "n_requests", "n_metadata")

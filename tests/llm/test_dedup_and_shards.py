@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 from millrace.llm import exact_dedup, sharding
+from millrace.llm.common import cut, weighed_join
 from tests.llm import data
 
 
@@ -88,3 +89,10 @@ def test_repeated_rows_and_ids_that_many_share_are_dealt_out(spark):
     assert n == 30_000 and rows.select("row_number").distinct().count() == n and rows.agg(sharding.F.max("row_number")).first()[0] == n - 1
     columns = spark.createDataFrame([(1, "x"), (2, "y")], "`doc.id` long, `a.text` string")
     assert sharding.shard(columns, 2, "doc.id", "a.text").count() == 2 == exact_dedup.decisions(columns, "doc.id", "a.text").count()
+
+
+def test_keys_that_are_not_hot_are_joined_by_a_shuffle(spark):
+    big, small = spark.range(100).toDF("k"), cut(spark.range(100).selectExpr("id as k", "repeat('x', 1000) as text", "1L as n"))
+    joined = weighed_join(big, small, ["k"], "n")
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 100
