@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, sized_join, weighed_join, wrapped
+from .common import components, cut, shuffled, sized_join, weighed_join, wrapped
 from .decontam import Tokens, binary_column, mixed, slices
 
 SEED = 42
@@ -108,7 +108,7 @@ def links(fps: DataFrame, distance: int, segments: int | None = None) -> DataFra
     for s, (low, width) in enumerate(places[:-1]):
         earlier = earlier | ((F.col("ask.s") > s) & (F.bit_count(_part(differ, low, width)) <= radius))
     met = (F.col("ask.s") == F.col("have.s")) & (F.col("ask.v") == F.col("have.v")) & (F.col("a") < F.col("b")) & (F.bit_count(differ) <= distance) & ~earlier
-    return ask.alias("ask").join(have.alias("have"), met).select("a", "b")
+    return shuffled(ask.alias("ask")).join(shuffled(have.alias("have")), met).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, distance: int = 4) -> DataFrame:
@@ -218,7 +218,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, similarity
     mine = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
     dealt = have.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "node")
-    dealt = dealt.join(sets, "node").select("bucket", "low", "high", "node", "shingles")
+    dealt = shuffled(dealt).join(shuffled(sets), "node").select("bucket", "low", "high", "node", "shingles")
     group = ["bucket", "low", "high"]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,6 +312,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     best = cut(best.select("keep_id", "keep_key", F.coalesce("n", F.lit(1)).alias("n")), "kept")
     rows = docs.select(wrapped(docs).alias("row"), F.col(f"`{id_col}`").alias("id"), _text_key(text_col).alias("key"))
     met = (F.col("key") == F.col("keep_key")) & F.col("id").eqNullSafe(F.col("keep_id"))
-    once = rows.join(best.where("n = 1"), met, "left_semi").select("row")
+    once = rows.join(shuffled(best.where("n = 1")), met, "left_semi").select("row")
     repeated = sized_join(rows, best.where("n > 1").select(F.col("keep_key").alias("key"), F.col("keep_id")), ["key"]).where(F.col("id").eqNullSafe(F.col("keep_id")))
     return once.union(repeated.groupBy("id", "key").agg(F.any_value("row").alias("row")).select("row")).select("row.*")

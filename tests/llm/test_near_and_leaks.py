@@ -5,7 +5,7 @@ import numpy as np
 import xxhash
 
 from millrace.llm import decontam, simhash, url_filter
-from millrace.llm.common import components, sized_join
+from millrace.llm.common import components, cut, sized_join
 from tests.llm import data
 
 
@@ -78,6 +78,19 @@ def test_both_ways_of_a_sized_join_agree(spark):
         assert a == b
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_what_is_repeated_for_salts_or_parts_is_not_broadcast(spark):
+    big, small = spark.range(100).toDF("k"), cut(spark.range(100).selectExpr("id as k", "id as w"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert "Broadcast" not in plan(sized_join(big, small, ["k"], how, rows=10**9))
+    assert "Broadcast" in plan(sized_join(big, small, ["k"], rows=100))
+    fps = cut(spark.range(100).toDF("fp"))
+    assert "Broadcast" not in plan(simhash.links(fps, 4))
+
+
 def test_near_texts_groups_copies_and_leaves_the_others(spark):
     got = {r.doc_id: r.component_id for r in simhash.near_texts(data.docs(spark)).collect()}
     assert {got[i] for i in (5, 50, 51, 52, 53)} == {5}
