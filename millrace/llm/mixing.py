@@ -8,11 +8,15 @@ eight bytes). A context and the bits coded so far pick a row of four counts, one
 training texts; the number of rows follows the fourth root of the training bytes, so the tables grow with the input and still fit
 into a worker (some 80 MB at 0.5 GB of text, 1.7 GB at 100 TB). They are written to the shared folder and read there, never collected.
 
+Fitting. What all predictors see of a byte is the word or the six bytes before it, and a text has the same again and again. So each task sorts the
+training bytes by that, PART at a time, and writes the different ones with their numbers to the shared folder (some 0.9 bytes a byte of text); counts,
+weights and map are sums over those, equal to sums over every byte of every training text. They are deleted when the model is fitted.
+
 Mixing. The stretched predictions are added up with weights that the bit's place in the byte and the number of longer contexts seen
 before select (gates). The weights that a text begins with are a logistic regression (Newton steps on sums over all training texts, each
 half of them against counts of the other half, so that no text meets its own counts), and move online: after each TURN
 bytes, along the text's coding errors. An adaptive map of the mixed prediction by bit place then refines it; it begins with
-the counts of all training texts, found likewise, and goes on with the text's own.
+the counts of all training texts, by the first weights and found likewise, and goes on with the text's own.
 
 Base. Documents are cut into blocks of bounded size, and each block into its different words and their places. Counts are summed by
 word and go back to the blocks that hold the word: those of the FREQUENT words that most blocks hold by broadcast, the others
@@ -55,13 +59,16 @@ PRIOR, SCALE = 0.4, 16.0
 FOLDS, NEWTON, RIDGE = 2, 2, 1.0
 #: Bytes between two updates of a text's weights, and their rate.
 TURN, RATE = 1024, 0.02
-#: Bytes that are looked up at once, and counted or fitted at once; texts that are coded side by side and their bytes (or those of a piece
-#: of a longer text).
-PIECE, PART, LANES, GROUP = 1 << 13, 1 << 16, 32, 1 << 20
+#: Bytes that are looked up, counted or fitted at once, different ones in a row that is written, and bytes of which those alike are put together;
+#: texts that are coded side by side and their bytes (or those of a piece of a longer text).
+PIECE, STEP, PART, LANES, GROUP = 1 << 13, 1 << 14, 1 << 22, 32, 1 << 20
+#: Bytes of rows that go to a Python worker at once: Spark's own 64 MB are there several times over, in the JVM and in the worker.
+BATCH_BYTES = 4 << 20
 #: Steps of the adaptive map, and the weight of what it begins with.
 STEPS, FIRM = 24, 40.0
 CELLS = 8 * STEPS
 CODEC = "zstd"
+_CELLS = ["back", "inside", "symbol", "times"]
 LN10 = np.log(10.0)
 _BIT = (np.arange(256)[:, None] >> np.arange(7, -1, -1) & 1).astype(np.float32)
 _TOP = np.array([0, *((2**64 - 1) << (64 - 8 * m) & (2**64 - 1) for m in range(1, 9))], np.uint64)
@@ -107,17 +114,18 @@ def walked(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[slice, np.ndarray
         yield slice(i, i + PIECE), data[first : some[-1] + 1], some - first
 
 
-def entries(data: np.ndarray, at: np.ndarray, sizes: np.ndarray, scratch: Scratch | None = None) -> Iterator[np.ndarray]:
-    """For each predictor, the four counts (of two bits each) that coding each of the bytes data[at] meets: an array (len(at), 4), the
-    same one for all predictors.
-
-    PAD bytes must stand before each of them: those of its text, or zeros before it. A word of over eight bytes counts with its last eight."""
-    back = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))[at - 8]  # the eight bytes before, the last one highest
+def before(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the bytes data[at], the eight bytes before (the last one highest), and how many of them belong to its word."""
+    back = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))[at - 8]
     ends = np.maximum.accumulate(np.where(data <= 32, np.arange(len(data), dtype=np.int32), np.int32(-1)))  # -1: no space in sight
-    word = back & np.take(_TOP, np.minimum(at - 1 - np.take(ends, at - 1), 8))
-    symbol = data[at]
+    return back, np.minimum(at - 1 - np.take(ends, at - 1), 8)
+
+
+def places(back: np.ndarray, inside: np.ndarray, symbol: np.ndarray, sizes: np.ndarray, scratch: Scratch | None = None) -> Iterator[np.ndarray]:
+    """``entries`` of bytes by what ``before`` gives of them. ``back`` may be cut to the six bytes or the word that contexts see."""
+    word = back & np.take(_TOP, inside)
     ways, quarters, first = np.take(_WAYS, symbol, 1), np.take(_QUARTERS, symbol, 0), 0
-    out = (scratch or Scratch())("entries", len(at), 4, np.int64)
+    out = (scratch or Scratch())("entries", len(back), 4, np.int64)
     for k, key in enumerate((back >> np.uint64(40), back >> np.uint64(16), word)):
         h = ((key + np.uint64(k + 1)) * _ODD[k] >> np.uint64(32)).astype(np.uint32)
         for i in range(4):
@@ -132,6 +140,56 @@ def entries(data: np.ndarray, at: np.ndarray, sizes: np.ndarray, scratch: Scratc
         yield out
 
 
+def entries(data: np.ndarray, at: np.ndarray, sizes: np.ndarray, scratch: Scratch | None = None) -> Iterator[np.ndarray]:
+    """For each predictor, the four counts (of two bits each) that coding each of the bytes data[at] meets: an array (len(at), 4), the
+    same one for all predictors.
+
+    PAD bytes must stand before each of them: those of its text, or zeros before it. A word of over eight bytes counts with its last eight."""
+    return places(*before(data, at), data[at], sizes, scratch)
+
+
+class Seen:
+    """Different bytes with what all predictors see before them: ``back`` and ``inside`` as of ``before``, ``symbol``, and ``times``, how often."""
+
+    def __init__(self, back: np.ndarray, inside: np.ndarray, symbol: np.ndarray, times: np.ndarray):
+        self.back, self.inside, self.symbol, self.times = back, inside, symbol, times
+
+    @classmethod
+    def of(cls, data: np.ndarray, at: np.ndarray) -> Seen:
+        """Of the bytes data[at], PART at most. They are sorted by the last three bytes before them and some bits of a hash; only neighbours that agree
+        in whole are put together, so a clash costs a row, never a count."""
+        back, inside = before(data, at)
+        back &= np.take(_TOP, np.maximum(inside, 6))
+        symbol, bits = data[at], np.uint64((PART - 1).bit_length())
+        packed = (back ^ back >> np.uint64(29)) * _ODD[3]
+        packed += symbol * _ODD[4]
+        packed ^= packed >> np.uint64(32)
+        packed *= _MIX
+        packed >>= np.uint64(24)
+        packed |= back & _TOP[3]
+        packed &= ~(np.uint64(1) << bits) + np.uint64(1)
+        packed |= np.arange(len(at), dtype=np.uint64)
+        packed.sort()
+        packed &= (np.uint64(1) << bits) - np.uint64(1)
+        order = packed.view(np.int64)
+        back, symbol = np.take(back, order), np.take(symbol, order)
+        new = np.concatenate([[0], np.nonzero((back[1:] != back[:-1]) | (symbol[1:] != symbol[:-1]))[0] + 1])
+        return cls(back[new], inside[order[new]].astype(np.uint8), symbol[new], np.diff(np.append(new, len(order))).astype(np.uint32))
+
+    @classmethod
+    def read(cls, row: tuple[bytes, bytes, bytes, bytes]) -> Seen:
+        planes, *rest = (np.frombuffer(x, kind) for x, kind in zip(row, (np.uint8, np.uint8, np.uint8, "<u4"), strict=True))
+        return cls(np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel(), *rest)
+
+    def row(self) -> list[bytes]:
+        """As four cells: the bytes of ``back`` place by place (they pack well), and the others."""
+        return [np.ascontiguousarray(self.back.view(np.uint8).reshape(-1, 8).T).tobytes(), self.inside.tobytes(), self.symbol.tobytes(), self.times.tobytes()]
+
+    def parts(self, most: int) -> Iterator[Seen]:
+        for i in range(0, len(self.back), most):
+            yield Seen(*(x[i : i + most] for x in (self.back, self.inside, self.symbol, self.times)))
+
+
 def stretched(counts: np.ndarray) -> np.ndarray:
     """Of rows of 4 counts: for each value, the two stretched predictions of a one on the way to it, as two int8 in an uint16."""
     tree = counts.reshape(-1, 4).astype(np.float32)
@@ -155,6 +213,14 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+def cells(total: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """The steps of the adaptive map that stretched mixes fall into; ``total`` is used up."""
+    total += np.float32(12)
+    total *= np.float32(STEPS / 24)
+    np.copyto(out, total, casting="unsafe")
+    return out
+
+
 class Model:
     """Tables of stretched predictions, first weights (predictor, gate, bit) and first counts of the adaptive map."""
 
@@ -167,9 +233,17 @@ class Model:
     def predictions(self, data: np.ndarray, at: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Each predictor's stretched predictions (int8 of len(at), 8), and the gates, for ascending places ``at``. The next call
         overwrites them."""
-        inputs, gate = [self.scratch(f"inputs{k}", len(at), 4, np.uint16) for k in range(P)], np.zeros(len(at), np.uint8)
-        for i, part, some in walked(data, at):
-            for k, e in enumerate(entries(part, some, self.sizes, self.scratch)):
+        return self._looked_up(len(at), ((i, entries(part, some, self.sizes, self.scratch)) for i, part, some in walked(data, at)))
+
+    def predictions_of(self, seen: Seen) -> tuple[list[np.ndarray], np.ndarray]:
+        """Likewise for different bytes."""
+        parts = enumerate(seen.parts(PIECE))
+        return self._looked_up(len(seen.back), ((slice(i * PIECE, i * PIECE + PIECE), places(x.back, x.inside, x.symbol, self.sizes, self.scratch)) for i, x in parts))
+
+    def _looked_up(self, n: int, found: Iterator[tuple[slice, Iterator[np.ndarray]]]) -> tuple[list[np.ndarray], np.ndarray]:
+        inputs, gate = [self.scratch(f"inputs{k}", n, 4, np.uint16) for k in range(P)], np.zeros(n, np.uint8)
+        for i, each in found:
+            for k, e in enumerate(each):
                 np.take(self.table, e, out=inputs[k][i], mode="clip")
         inputs = [x.view(np.int8) for x in inputs]
         for k in LONGER:
@@ -241,10 +315,8 @@ class State:
             np.exp(np.negative(total, out=p), out=p)
             p += np.float32(1)
             np.reciprocal(p, out=p)
-            total += np.float32(12)
-            total *= np.float32(STEPS / 24)
             cell, own = model.scratch("cell", len(rows), 8, np.int64), model.scratch("own", len(rows), 8, np.int64)
-            np.copyto(cell, total, casting="unsafe")
+            cells(total, cell)
             cell += np.take(corner, text, 0, out=own, mode="clip")
             uses, ones = self.uses[:live], self.ones[:live]
             refined = (ones + FIRM * model.first) / (uses + FIRM)
@@ -277,38 +349,50 @@ def _lowered(text_col: str) -> Column:
     return F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
 
 
-def _groups(texts: list[bytes], most: int) -> Iterator[list[bytes]]:
-    """Texts in groups of ``most`` bytes together, or one longer text."""
-    held, size = [], 0
-    for t in texts:
-        if held and size + len(t) > most:
-            yield held
-            held, size = [], 0
-        held.append(t)
-        size += len(t)
-        if len(t) > most:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
-def _tables(rows: DataFrame, sizes: np.ndarray) -> DataFrame:
-    """page, outside, inside and every (the stretched tables of the training texts outside the fold, of those in it, and of all) from text and fold (boolean)."""
+def _seen(rows: DataFrame) -> DataFrame:
+    """fold, back, inside, symbol, times from text and fold (boolean): rows of STEP different bytes of the training texts at most, as ``Seen`` writes them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {}
+
+        def put(f: bool) -> Iterator[pa.RecordBatch]:
+            for data, at in _pieces(held.pop(f)[0]):
+                for part in Seen.of(data, at).parts(STEP):
+                    yield pa.RecordBatch.from_arrays([pa.array([f]), *(pa.array([x], pa.binary()) for x in part.row())], ["fold", *_CELLS])
+
+        for b in batches:
+            for t, f in zip(map(normal, b.column(0).to_pylist()), b.column(1).to_pylist(), strict=True):
+                if f in held and held[f][1] + len(t) > PART:
+                    yield from put(f)
+                texts, size = held.get(f, ([], 0))
+                held[f] = texts, size + len(t)
+                texts.append(t)
+        for f in list(held):
+            yield from put(f)
+
+    return rows.select("text", "fold").mapInArrow(run, "fold boolean, back binary, inside binary, symbol binary, times binary")
+
+
+def _cells(batches: Iterator[pa.RecordBatch], first: int = 0) -> Iterator[tuple]:
+    """What stands before the cells of ``Seen`` in each row, and those."""
+    for b in batches:
+        for row in zip(*(b.column(i).to_pylist() for i in range(b.num_columns)), strict=True):
+            yield *row[:first], Seen.read(row[first:])
+
+
+def _tables(seen: DataFrame, sizes: np.ndarray) -> DataFrame:
+    """page, outside, inside and every (the stretched tables of the training texts outside the fold, of those in it, and of all) from what ``_seen`` gives."""
     total = 4 * int(sizes.sum())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, scratch = {}, Scratch()
-        for b in batches:
-            fold, texts = b.column(1).to_pylist(), [normal(t) for t in b.column(0).to_pylist()]
-            for f in set(fold):
-                if f not in counts:
-                    counts[f] = np.zeros(total, np.uint32)
-                for some in _groups([t for t, x in zip(texts, fold, strict=True) if x == f], PART):
-                    for data, at in _pieces(some):
-                        for _, part, here in walked(data, at):
-                            for e in entries(part, here, sizes, scratch):
-                                np.add.at(counts[f], e.ravel(), np.uint32(1))
+        for f, seen in _cells(batches, 1):
+            if f not in counts:
+                counts[f] = np.zeros(total, np.uint32)
+            for x in seen.parts(PIECE):
+                times = np.repeat(x.times, 4)
+                for e in places(x.back, x.inside, x.symbol, sizes, scratch):
+                    np.add.at(counts[f], e.ravel(), times)
         for f, mine in counts.items():
             for page in range(-(-total // PAGE)):
                 part = mine[page * PAGE : (page + 1) * PAGE]
@@ -334,7 +418,7 @@ def _tables(rows: DataFrame, sizes: np.ndarray) -> DataFrame:
             yield done()
 
     # A page's partial counts pass by one after the other, however many there are.
-    partial = rows.select("text", "fold").mapInArrow(count, "page int, fold boolean, counts binary")
+    partial = seen.select("fold", *_CELLS).mapInArrow(count, "page int, fold boolean, counts binary")
     return partial.repartition("page").sortWithinPartitions("page").mapInArrow(add, "page int, outside binary, inside binary, every binary")
 
 
@@ -353,11 +437,16 @@ class Training:
 
     def __init__(self, rows: DataFrame, train_bytes: int):
         self.spark, self.sizes, self.weights, self.map = rows.sparkSession, sizes_of(train_bytes), None, (None, None)
-        self.folder = new_folder(self.spark, "tables")
-        _tables(rows, self.sizes).write.parquet(self.folder)
+        self.folder, held = new_folder(self.spark, "tables"), new_folder(self.spark, "seen")
+        made = _seen(rows)
+        made.write.option("compression", CODEC).option("parquet.block.size", 8 << 20).parquet(held)  # a reader holds a row group at once
+        seen = self.spark.read.schema(made.schema).parquet(held)
+        _tables(seen, self.sizes).write.parquet(self.folder)
         for _ in range(NEWTON):
-            self._newton(rows)
-        self._fill(rows)
+            self._newton(seen)
+        self._fill(seen)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(held)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def _maker(self, column: str):
         kept = self.spark.sparkContext.broadcast({})  # in each Python worker, it keeps the table from task to task
@@ -373,47 +462,47 @@ class Training:
     def maker(self):
         return self._maker("every")
 
-    def _sums(self, rows: DataFrame, run) -> dict[int, float]:
-        """Sums by number over all tasks (a fixed number of them), of what ``run(model, texts)`` gives; rounded, so that the order of adding is not seen.
+    def _sums(self, seen: DataFrame, run) -> dict[int, float]:
+        """Sums by number over all tasks (a fixed number of them), of what ``run(model, seen)`` gives; rounded, so that the order of adding is not seen.
         Each fold's texts meet the model of the other's, and a task those of one fold only."""
 
         def of(make):
             def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sums, model = None, None
-                for b in batches:
+                for (some,) in _cells(batches):
                     model = model or make()
-                    for some in _groups([normal(t) for t in b.column(0).to_pylist()], PART):
-                        now = run(model, some)
-                        sums = now if sums is None else sums + now
+                    now = run(model, some)
+                    sums = now if sums is None else sums + now
                 if sums is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums)), pa.int32()), pa.array(sums)], ["i", "x"])
 
             return each
 
-        parts = [rows.where(which).select("text").mapInArrow(of(self._maker(column)), "i int, x double") for which, column in (("fold", "outside"), ("not fold", "inside"))]
+        parts = [seen.where(which).select(*_CELLS).mapInArrow(of(self._maker(column)), "i int, x double") for which, column in (("fold", "outside"), ("not fold", "inside"))]
         return {r["i"]: r["x"] for r in parts[0].union(parts[1]).groupBy("i").agg(F.sum("x").alias("x")).collect()}
 
-    def _newton(self, rows: DataFrame) -> None:
+    def _newton(self, seen: DataFrame) -> None:
         """A Newton step of the weights of every gate and bit."""
 
-        def run(model: Model, texts: list[bytes]) -> np.ndarray:
+        def run(model: Model, seen: Seen) -> np.ndarray:
             out = np.zeros((P + P * P, GATES, 8))
-            for data, at in _pieces(texts):
-                inputs, gate = model.predictions(data, at)
+            for some in seen.parts(PIECE):
+                inputs, gate = model.predictions_of(some)
                 order = np.argsort(gate, kind="stable")
-                gate, bit = gate[order], np.take(_BIT, data[at[order]], 0)
-                x = [np.take(i, order, 0).astype(np.float32) for i in inputs]
+                gate, bit, times = gate[order], np.take(_BIT, some.symbol[order], 0), some.times[order].astype(np.float64)[:, None]
+                x = [np.take(i, order, 0).astype(np.float64) for i in inputs]
                 p = 1 / (1 + np.exp(-model.mixed(x, model.weights, gate)))
-                edge = np.concatenate([[0], np.nonzero(np.diff(gate))[0] + 1])
-                where, miss, slope = gate[edge], (bit - p) / SCALE, p * (1 - p) / SCALE**2
-                sums = lambda v: np.add.reduceat(v, edge, 0, dtype=np.float64)
-                for i in range(P):
-                    out[i, where] += sums(miss * x[i])
-                    for j in range(i + 1):
-                        out[P + P * i + j, where] += sums(slope * x[i] * x[j])
+                miss, slope = (bit - p) * (times / SCALE), (p - p * p) * (times / SCALE**2)
+                edge = np.concatenate([[0], np.nonzero(np.diff(gate))[0] + 1, [len(gate)]])
+                for a, b in zip(edge, edge[1:], strict=False):
+                    for i in range(P):
+                        out[i, gate[a]] += np.einsum("nb,nb->b", miss[a:b], x[i][a:b])
+                        steep = slope[a:b] * x[i][a:b]
+                        for j in range(i + 1):
+                            out[P + P * i + j, gate[a]] += np.einsum("nb,nb->b", steep, x[j][a:b])
             return out.ravel()
 
-        found = self._sums(rows, run)
+        found = self._sums(seen, run)
         if not found:
             return
         sums = np.array([found[i] for i in range(len(found))]).reshape(P + P * P, GATES * 8)
@@ -424,9 +513,21 @@ class Training:
             now[:, c] += np.clip(np.linalg.solve(hessian, sums[:P, c] - RIDGE * (now[:, c] - 1.0 / P)), -0.5, 0.5)
         self.weights = np.round(now.reshape(P, GATES, 8), 5)
 
-    def _fill(self, rows: DataFrame) -> None:
-        """The counts that the adaptive map begins with, as many as make FIRM of a cell that is met often."""
-        found = self._sums(rows, lambda model, texts: model.score(texts)[1].ravel())
+    def _fill(self, seen: DataFrame) -> None:
+        """The counts that the adaptive map begins with, as many as make FIRM of a cell that is met often: of every training byte by the first weights."""
+
+        def run(model: Model, seen: Seen) -> np.ndarray:
+            out = np.zeros((2, CELLS))
+            for some in seen.parts(PIECE):
+                inputs, gate = model.predictions_of(some)
+                cell = cells(model.mixed(inputs, model.weights, gate), np.empty((len(gate), 8), np.int64))
+                cell += np.arange(8) * STEPS
+                times, bit = np.repeat(some.times.astype(np.float64), 8), np.take(_BIT, some.symbol, 0).ravel()
+                for o, weights in zip(out, (times, times * bit), strict=True):
+                    o += np.bincount(cell.ravel(), weights, CELLS)
+            return out.ravel()
+
+        found = self._sums(seen, run)
         if found:
             self.map = tuple(np.array([found[i] for i in range(2 * CELLS)]).reshape(2, CELLS))
 
@@ -492,6 +593,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     ``held`` marks the rows that the model does not learn from. Scores are log10 probabilities; bits per byte are those of ``score``
     over the bytes that are coded.
     """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)  # it stays, since Spark reads it as the result is written
     fold = F.pmod(F.xxhash64(_lowered(text_col)), F.lit(FOLDS)) == 0
     rows = docs.where(~held).select(_lowered(text_col).alias("text"), fold.alias("fold"))
     seen = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()

@@ -393,3 +393,34 @@ def test_all_training_texts_fit_the_weights_and_the_map(spark, monkeypatch):
     assert mixing.score(docs, mixing.held_out(F.col("doc_id"))).count() == 62
     bits = 8 * sum(len(mixing.normal((t or "").encode())) for i, t in texts if i not in held)
     assert made[0].map[0].sum() == bits
+
+
+def test_bytes_that_come_again_are_fitted_once_with_all_their_counts(monkeypatch):
+    words = ["the", "cat", "sat", "onthematagain", "Ünïcode", "x", "averyverylongword"]
+    r = np.random.default_rng(5)
+    texts = [mixing.normal(" ".join(r.choice(words, 300)).encode()) for _ in range(20)] + [b"\n", b"x\n"]
+    sizes, n = mixing.sizes_of(1), sum(map(len, texts))
+    one, by, rows = *(np.zeros(4 * int(sizes.sum()), np.uint32) for _ in range(2)), []
+    for data, at in mixing._pieces(texts):
+        for e in mixing.entries(data, at, sizes):
+            np.add.at(one, e.ravel(), np.uint32(1))
+        rows += [x.row() for x in mixing.Seen.of(data, at).parts(100)]
+    seen = [mixing.Seen.read(row) for row in rows]
+    for x in seen:
+        for e in mixing.places(x.back, x.inside, x.symbol, sizes):
+            np.add.at(by, e.ravel(), np.repeat(x.times, 4))
+    assert (by == one).all() and one.sum() == 12 * n and len(rows) > 1
+    assert sum(len(x.back) for x in seen) < n / 10 and sum(int(x.times.sum()) for x in seen) == n
+
+    # The sums of a Newton step and the map are those over every byte on its own.
+    model = mixing.Model(sizes, mixing.stretched(one))
+    training = object.__new__(mixing.Training)
+    each = [mixing.Seen(*mixing.before(data, at), data[at], np.ones(len(at), np.uint32)) for data, at in mixing._pieces(texts)]
+    found = []
+    for parts in (seen, each):
+        training.weights = None
+        monkeypatch.setattr(training, "_sums", lambda _, run, parts=parts: dict(enumerate(sum(run(model, x) for x in parts))), raising=False)
+        training._newton(None)
+        training._fill(None)
+        found.append((training.weights, *training.map))
+    assert all(a == pytest.approx(b, rel=1e-6) for a, b in zip(*found, strict=True))
